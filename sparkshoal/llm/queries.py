@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkshoal.llm import canonical, frequency, fusion, leakage, mixing, runs, splits
+from sparkshoal.llm import canonical, frequency, fusion, leakage, mixing, pii, runs, splits
 
 QUERIES = {
     "p1_found": splits.p1_found,
@@ -20,6 +20,8 @@ QUERIES = {
     "p7_leaks": leakage.p7_leaks,
     "p8_mix": mixing.p8_mix,
     "p8_shares": mixing.p8_shares,
+    "p9_found": pii.p9_found,
+    "p9_redacted": pii.p9_redacted,
 }
 
 SQL: dict[str, str] = {}
