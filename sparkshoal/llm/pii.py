@@ -414,7 +414,7 @@ def check(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int,
     """Exact check of labelled spans: their form must be one their kind can have, and their ends are the form's ends."""
     out: list[tuple[int, int, str]] = []
     for a, b, kind in spans:
-        lo = text.rfind("\n", 0, a) + 1
+        lo = max(text.rfind("\n", 0, a) + 1, out[-1][1] if out and out[-1][1] <= a else 0)
         hi = text.find("\n", b)
         hi = len(text) if hi < 0 else hi
         near = text[max(lo, a - 80) : min(hi, b + 80)]
@@ -454,7 +454,7 @@ def check(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int,
             while a < b and not text[a].isalpha():
                 a += 1
             m = TITLE.match(text, a)
-            if m and m.end() < b:
+            if m and len(re.findall(r"[^\W\d_]+", text[m.end() : b])) > 1:  # else the title is an initial
                 a = m.end()
             if len(re.findall(r"[^\W\d_]+", text[a:b])) < 2 or any(ch.isdigit() for ch in text[a:b]):
                 continue
