@@ -9,7 +9,10 @@ from pyspark.sql.window import Window
 from sparkshoal.functions.keys import stable_bucket
 from sparkshoal.operators.labels import small
 
-ALL = Window.partitionBy()
+def everything():
+    """A window over all rows; only for tables of one row a source or split."""
+    return Window.partitionBy()
+
 
 
 def split_of(seed: int, dataset: Column, group: Column, train: int = 80, val: int = 10) -> Column:
@@ -46,7 +49,7 @@ def blind_classes(report: DataFrame) -> DataFrame:
 def source_shares(items: DataFrame, source: str, limit: float = 0.25) -> DataFrame:
     """Share of each source and whether it is more than ``limit``."""
     n = items.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n"))
-    share = F.col("n") / F.sum("n").over(ALL)  # one row a source
+    share = F.col("n") / F.sum("n").over(everything())  # one row a source
     return n.select("source", "n", F.round(share, 6).alias("share"), (share > limit).alias("too_large"))
 
 
@@ -59,7 +62,7 @@ def source_by_class(labels: DataFrame, source: str) -> DataFrame:
 def split_shares(items: DataFrame) -> DataFrame:
     """Images and images without labels by split, with their shares of all."""
     n = items.groupBy("split").agg(F.count("*").alias("images"), F.count_if(F.col("n_labels") == 0).alias("negatives"))
-    return n.select("split", "images", "negatives", F.round(F.col("images") / F.sum("images").over(ALL), 6).alias("share"))
+    return n.select("split", "images", "negatives", F.round(F.col("images") / F.sum("images").over(everything()), 6).alias("share"))
 
 
 def repeat_factors(train: DataFrame, threshold: float = 0.10) -> DataFrame:
@@ -70,8 +73,8 @@ def repeat_factors(train: DataFrame, threshold: float = 0.10) -> DataFrame:
     rarest class, rounded half to even.
     """
     pairs = train.select("image", "cid").distinct()
-    total = pairs.select("image").distinct().agg(F.count("*").alias("n"))
-    weight = pairs.groupBy("cid").agg(F.count("*").alias("c")).crossJoin(F.broadcast(total)).select("cid", F.greatest(F.lit(1.0), F.sqrt(F.lit(threshold) / (F.col("c") / F.col("n")))).alias("w"))  # one row beside one row a class
+    n = pairs.select("image").distinct().count()
+    weight = pairs.groupBy("cid").agg(F.count("*").alias("c")).select("cid", F.greatest(F.lit(1.0), F.sqrt(F.lit(threshold) / (F.col("c") / F.lit(n)))).alias("w"))
     return pairs.join(small(weight), "cid").groupBy("image").agg(F.greatest(F.lit(1), F.bround(F.max("w")).cast("int")).alias("factor"))
 
 

@@ -65,8 +65,7 @@ def near_duplicates(items: DataFrame, groups: list[str], order: list[str], value
 def rarity(labels: DataFrame, item: str, label: str, per: list[str]) -> DataFrame:
     """Rarity of each item: the sum over its labels of all labels over those of the same class, rounded to nine decimals."""
     freq = labels.groupBy(*per, label).agg(F.count("*").alias("_n"))
-    total = freq.groupBy(*per).agg(F.sum("_n").alias("_all")) if per else freq.agg(F.sum("_n").alias("_all"))
-    weight = (freq.join(total, per) if per else freq.crossJoin(F.broadcast(total))).withColumn("_w", F.col("_all") / F.col("_n"))
+    weight = freq.withColumn("_w", F.sum("_n").over(Window.partitionBy(*per)) / F.col("_n"))  # one row a class
     counts = labels.groupBy(*per, item, label).agg(F.count("*").alias("_k")).join(weight, [*per, label])
     ordered = F.array_sort(F.collect_list(F.struct(F.col(label).alias("l"), (F.col("_k") * F.col("_w")).alias("v"))))
     return counts.groupBy(*per, item).agg(F.round(F.aggregate(ordered, F.lit(0.0), lambda acc, x: acc + x["v"]), 9).alias("rarity"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tarfile
+import urllib.error
 import urllib.request
 import zipfile
 from pathlib import Path

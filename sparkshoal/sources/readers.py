@@ -29,13 +29,13 @@ def _samples(df: DataFrame, dataset: str, image: Column, boxes: Column, group: C
 
 
 def coco_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str | None = None) -> DataFrame:
-    """Samples of parsed COCO documents (columns images, annotations, categories).
+    """Samples of parsed COCO documents (columns path, images, annotations, categories).
 
     Crowd annotations, those without an image, with a box that isn't four numbers or
     an image without positive sides give no box; an unknown category's label is its
     id. Of repeated image ids the last counts, in the place of the first.
     """
-    docs = docs.withColumn("_doc", F.coalesce(F.input_file_name(), F.lit("")))
+    docs = docs.select(F.col("path").alias("_doc"), "images", "annotations", "categories")
     im = docs.select("_doc", F.posexplode("images").alias("pos", "im")).groupBy("_doc", F.col("im.id").alias("id")).agg(F.min("pos").alias("seq"), F.max_by("im", "pos").alias("im"))
     cat = docs.select("_doc", F.explode("categories").alias("c")).groupBy("_doc", F.col("c.id").alias("cat_id")).agg(F.max("c.name").alias("name"))
     an = docs.select("_doc", F.posexplode("annotations").alias("apos", "a")).where("coalesce(a.iscrowd, 0) = 0 and size(a.bbox) = 4").select("_doc", "apos", F.col("a.image_id").alias("id"), F.col("a.category_id").alias("cat_id"), F.col("a.bbox").alias("bb"))
@@ -49,7 +49,7 @@ def coco_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str
 
 
 def read_coco(spark: SparkSession, path: str, dataset: str, **group: str) -> DataFrame:
-    return coco_samples(spark.read.option("multiLine", True).schema(COCO).json(path), dataset, **group)
+    return coco_samples(spark.read.option("multiLine", True).schema(COCO).json(path).withColumn("path", F.input_file_name()), dataset, **group)
 
 
 def voc_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str | None = None) -> DataFrame:
