@@ -24,4 +24,42 @@ QUERIES = {
     "p9_redacted": pii.p9_redacted,
 }
 
-SQL: dict[str, str] = {}
+_SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_SEPARATOR = _SPACE[:-1] + r"_\-]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
+
+def _group(path: str) -> str:
+    stem = rf"regexp_replace(regexp_extract({path}, '[^/]*$'), '(.)\.[^.]*$', '\1')"
+    return f"regexp_replace(lower({_strip(f"case when coalesce({_strip('group_key')}, '') = '' then {stem} else group_key end")}), '{_SEPARATOR}+', '-', 'g')"
+
+
+_TERMS = f"""with t as (select 'label' field, label term, sample_id rec, box_id occ from boxes union all select 'concept', concept, rec_id, rec_id from progress),
+u as (select * from t where coalesce({_strip('term')}, '') <> ''), n as (select field, count(distinct rec) total from u group by 1),
+k as (select field, term, count(distinct (rec, occ)) occurrences, count(distinct rec) records from u group by all),
+m as (select k.field, k.term, occurrences, records, case when records <= 2 then 'rare' when records > 0.04 * total then 'common' end mark from k join n using (field))"""
+
+_UUID = "([0-9a-f]{8}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{12})"
+
+_FRAMES = rf"""with s as (select *, row_number() over (partition by sample_id order by ingested_at nulls first, dataset nulls first, group_key nulls first, image_path nulls first, dhash nulls first, captured_at nulls first) nth from samples where sample_id is not null),
+g as (select * from s where nth = 1),
+k as (select *, {_group('image_path')} group_name, try_cast(regexp_extract(regexp_replace(regexp_extract(image_path, '[^/]*$'), '(.)\.[^.]*$', '\1'), '(\d+)\D*$', 1) as bigint) frame from g),
+f as (select *, case when bit_count(xor(dhash, lag(dhash) over w)) <= 6 then 0 else 1 end change from k where dhash is not null and frame is not null window w as (partition by dataset, group_name order by frame, sample_id)),
+r as (select *, sum(change) over (partition by dataset, group_name order by frame, sample_id) run from f)"""
+
+SQL = {
+    "p1_found": f"""with m as (select dataset, out_name, {_group('source_path')} g, lower({_strip('split')}) s from manifest)
+        select dataset, min(out_name) out_name from m group by dataset, g having count(distinct case when s in ('valid', 'validation') then 'val' when s in ('train', 'val', 'test') then s end) > 1""",
+    "p3_found": f"""with l as (select rec_id, logged_at, replace(coalesce(nullif(regexp_extract(lower(uuid), '{_UUID}', 1), ''), nullif(regexp_extract(lower(file_name), '{_UUID}', 1), '')), '-', '') image, len(list_distinct(coalesce(boxes, []))) n, coalesce({_strip('concept')}, '') <> '' named from progress)
+        select min(rec_id) first_rec_id, arg_max(rec_id, (n, -rec_id)) boxes_rec_id, arg_max(rec_id, (coalesce(epoch_us(logged_at), -9000000000000000000), -rec_id)) filter (where named) concept_rec_id from l where image is not null group by image having count(distinct rec_id) > 1""",
+    "p4_found": f"{_TERMS} select field, term, mark from m where mark is not null",
+    "p4_terms": f"{_TERMS} select * from m",
+    "p5_found": f"{_FRAMES} select min(sample_id) lo_sample_id, max(sample_id) hi_sample_id from r group by dataset, group_name, run having count(*) > 1",
+    "p5_events": f"{_FRAMES} select dataset, group_name, min(sample_id) lo_sample_id, max(sample_id) hi_sample_id, count(*) frames, min(frame) first_frame, max(frame) last_frame, min(captured_at) started, round((epoch_us(max(captured_at)) - epoch_us(min(captured_at))) / 1e6, 6) duration_s from r group by dataset, group_name, run having count(*) > 1",
+    "p7_found": r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null), i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from eval_items),
+        a as (select distinct doc_id, array_to_string(w[k:k+7], ' ') s from (select *, unnest(range(1, len(w) - 6)) k from d)), b as (select distinct item_id, array_to_string(w[k:k+7], ' ') s from (select *, unnest(range(1, len(w) - 6)) k from i))
+        select distinct doc_id, item_id from a join b using (s)""",
+}
