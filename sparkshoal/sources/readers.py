@@ -37,11 +37,12 @@ def coco_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str
     """
     docs = docs.select(F.col("path").alias("_doc"), "images", "annotations", "categories")
     im = docs.select("_doc", F.posexplode("images").alias("pos", "im")).groupBy("_doc", F.col("im.id").alias("id")).agg(F.min("pos").alias("seq"), F.max_by("im", "pos").alias("im"))
-    cat = docs.select("_doc", F.explode("categories").alias("c")).groupBy("_doc", F.col("c.id").alias("cat_id")).agg(F.max("c.name").alias("name"))
-    an = docs.select("_doc", F.posexplode("annotations").alias("apos", "a")).where("coalesce(a.iscrowd, 0) = 0 and size(a.bbox) = 4").select("_doc", "apos", F.col("a.image_id").alias("id"), F.col("a.category_id").alias("cat_id"), F.col("a.bbox").alias("bb"))
-    an = an.join(F.broadcast(cat) if cat.limit(10_001).count() <= 10_000 else cat, ["_doc", "cat_id"], "left").join(im, ["_doc", "id"])
+    # A document's categories are few, so names are looked up inside its row; the last of repeated ids counts.
+    name = lambda a: F.coalesce(F.try_element_at(F.filter("categories", lambda c: c["id"] == a["category_id"]), F.lit(-1))["name"], a["category_id"].cast("string"))
+    plain = F.filter("annotations", lambda a: (F.coalesce(a["iscrowd"], F.lit(0)) == 0) & (F.size(a["bbox"]) == 4))
+    an = docs.select("_doc", F.posexplode(F.transform(plain, lambda a: F.struct(a["image_id"].alias("id"), name(a).alias("name"), a["bbox"].alias("bb")))).alias("apos", "a")).select("_doc", "apos", "a.*").join(im, ["_doc", "id"])
     x, y, w, h = (F.col("bb")[i] for i in range(4))
-    one = B.from_corners(F.coalesce("name", F.col("cat_id").cast("string")), x, y, x + w, y + h, F.col("im.width"), F.col("im.height"))
+    one = B.from_corners(F.col("name"), x, y, x + w, y + h, F.col("im.width"), F.col("im.height"))
     per = an.select("_doc", "id", "apos", one.alias("b")).where("b is not null").groupBy("_doc", "id").agg(F.array_sort(F.collect_list(F.struct("apos", "b"))).alias("bs"))
     out = im.join(per, ["_doc", "id"], "left")
     stem = file_stem(F.col("im.file_name"))
@@ -58,13 +59,14 @@ def voc_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str
     A file without positive sizes is skipped, an object with a coordinate that is no
     number too. Names are stripped. The image is the named one, else the file's stem.
     """
-    width, height = number(strip_space(F.col("size.width"))), number(strip_space(F.col("size.height")))
-    def one(o: Column) -> Column:
-        c = [number(strip_space(o["bndbox"][k])) for k in ("xmin", "ymin", "xmax", "ymax")]
-        return B.from_corners(strip_space(o["name"]), *c, width, height)
+    docs = docs.withColumns({"_w": number(strip_space(F.col("size.width"))), "_h": number(strip_space(F.col("size.height")))}).where("_w > 0 and _h > 0")
+    # Numbers are read once for each object, then put together.
+    read = lambda o: F.struct(strip_space(o["name"]).alias("label"), *[number(strip_space(o["bndbox"][k])).alias(k) for k in ("xmin", "ymin", "xmax", "ymax")])
+    docs = docs.withColumn("_read", F.transform(F.coalesce("object", F.array().cast("array<struct<name:string,bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>")), read))
     named = F.coalesce(F.nullif(strip_space(F.col("filename")), F.lit("")), file_stem(F.col("path")))
-    objects = F.filter(F.transform(F.coalesce("object", F.array().cast("array<struct<name:string,bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>")), one), lambda b: b.isNotNull())
-    return _samples(docs.where((width > 0) & (height > 0)), dataset, named, B.valid(objects), make_group(file_stem(named), mode, pattern), F.col("path"))
+    whole = F.filter("_read", lambda o: (o["xmin"] + o["ymin"] + o["xmax"] + o["ymax"]).isNotNull())
+    objects = F.transform(whole, lambda o: B.from_corners(o["label"], o["xmin"], o["ymin"], o["xmax"], o["ymax"], F.col("_w"), F.col("_h")))
+    return _samples(docs, dataset, named, B.valid(objects), make_group(file_stem(named), mode, pattern), F.col("path"))
 
 
 def read_voc(spark: SparkSession, path: str, dataset: str, **group: str) -> DataFrame:
@@ -76,19 +78,19 @@ def yolo_boxes(body: Column, names: list[str]) -> Column:
     """Valid boxes of a label file's text: lines of at least five numbers; an index past ``names`` is its own label."""
     table = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
 
-    def one(line: Column) -> Column:
-        t = F.filter(F.split(line, f"{SPACE}+"), lambda x: x != "")
-        v = [number(F.get(t, F.lit(i))) for i in range(5)]
-        index = F.when(F.abs(v[0]) < 1e9, v[0].cast("int"))
+    # One step a pass, so that no line is split and no number read more than once.
+    lines = F.filter(F.split(F.coalesce(body, F.lit("")), r"\r\n|\n|\r"), lambda x: x != "")
+    tokens = F.filter(F.transform(lines, lambda x: F.split(strip_space(x), f"{SPACE}+")), lambda t: F.size(t) >= 5)
+    numbers = F.transform(tokens, lambda t: F.transform(F.slice(t, 1, 5), number))
+    read = F.filter(numbers, lambda v: F.forall(v, lambda x: x.isNotNull()) & (F.abs(v[0]) < 1e9))
+
+    def one(v: Column) -> Column:
+        index = v[0].cast("int")
         known = (index >= 0) & (index < len(names))
         label = F.when(known, F.get(table, F.when(known, index).otherwise(0))).otherwise(index.cast("string"))
-        ok = index.isNotNull()
-        for x in v[1:]:
-            ok = ok & x.isNotNull()
-        return F.when(ok, B.box(label, *v[1:]))
+        return B.box(label, v[1], v[2], v[3], v[4])
 
-    lines = F.split(F.coalesce(body, F.lit("")), r"\r\n|\n|\r")
-    return B.valid(F.filter(F.transform(lines, one), lambda b: b.isNotNull()))
+    return B.valid(F.transform(read, one))
 
 
 def yolo_samples(images: DataFrame, labels: DataFrame, dataset: str, names: list[str], mode: str = "none", pattern: str | None = None) -> DataFrame:
