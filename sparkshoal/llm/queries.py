@@ -58,7 +58,7 @@ SQL = {
     "p4_found": f"{_TERMS} select field, term, mark from m where mark is not null",
     "p4_terms": f"{_TERMS} select * from m",
     "p5_found": f"{_FRAMES} select min(sample_id) lo_sample_id, max(sample_id) hi_sample_id from r group by dataset, group_name, run having count(*) > 1",
-    "p5_events": f"{_FRAMES} select dataset, group_name, min(sample_id) lo_sample_id, max(sample_id) hi_sample_id, count(*) frames, min(frame) first_frame, max(frame) last_frame, min(captured_at) started, round((epoch_us(max(captured_at)) - epoch_us(min(captured_at))) / 1e6, 6) duration_s from r group by dataset, group_name, run having count(*) > 1",
+    "p5_events": f"{_FRAMES} select dataset, group_name, min(sample_id) lo_sample_id, max(sample_id) hi_sample_id, count(*) frames, min(frame) first_frame, max(frame) last_frame, epoch_us(min(captured_at)) started_us, round((epoch_us(max(captured_at)) - epoch_us(min(captured_at))) / 1e6, 6) duration_s from r group by dataset, group_name, run having count(*) > 1",
     "p7_found": r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null), i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from eval_items),
         a as (select distinct doc_id, array_to_string(w[k:k+7], ' ') s from (select *, unnest(range(1, len(w) - 6)) k from d)), b as (select distinct item_id, array_to_string(w[k:k+7], ' ') s from (select *, unnest(range(1, len(w) - 6)) k from i))
         select distinct doc_id, item_id from a join b using (s)""",

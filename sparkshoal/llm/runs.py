@@ -30,7 +30,7 @@ def collapse(events: DataFrame, sequence: list[str], position: str, event: str,
     ``position`` (long) orders a sequence, ties go by ``key`` (long). Events with
     a null position, event or key are passed over. Null sequence columns are a
     value like any other. Result: the sequence columns, lo_key, hi_key, events,
-    first_position, last_position, started, duration_s (between the earliest and
+    first_position, last_position, started_us, duration_s (between the earliest and
     latest known time; null if none is known). Other columns are ignored.
     """
     s = [f"s{i}" for i in range(len(sequence))]
@@ -56,7 +56,7 @@ def collapse(events: DataFrame, sequence: list[str], position: str, event: str,
     joined = parts.join(ends, same, "left").select(*s, home.alias("home"), "n", "lo", "hi", "first", "last", "t0", "t1")
     whole = joined.groupBy(*s, "home").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("t0").alias("t0"), F.max("t1").alias("t1"))
     seconds = F.round((F.unix_micros("t1") - F.unix_micros("t0")) / 1e6, 6)
-    return whole.where(F.col("n") >= least).select(*[F.col(a).alias(c) for c, a in zip(sequence, s)], F.col("lo").alias("lo_key"), F.col("hi").alias("hi_key"), F.col("n").alias("events"), F.col("first.pos").alias("first_position"), F.col("last.pos").alias("last_position"), F.col("t0").alias("started"), seconds.alias("duration_s"))
+    return whole.where(F.col("n") >= least).select(*[F.col(a).alias(c) for c, a in zip(sequence, s)], F.col("lo").alias("lo_key"), F.col("hi").alias("hi_key"), F.col("n").alias("events"), F.col("first.pos").alias("first_position"), F.col("last.pos").alias("last_position"), F.unix_micros("t0").alias("started_us"), seconds.alias("duration_s"))
 
 
 def frames(samples: DataFrame) -> DataFrame:
