@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkshoal.functions.text import file_stem, is_blank, strip_space
 from sparkshoal.session import remove_path, rename_path, scratch_path, settings, table
+from sparkshoal.sources.listing import listed
 
 #: Groups of exact copies up to this size are reported pair by pair, larger ones as pairs with their first file.
 PAIRED = 64
@@ -68,9 +69,11 @@ def pack(spark: SparkSession, read: Callable[[], DataFrame], path: str, check: l
 
 
 def read_tiny_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """A folder tree of tiny text files as rows: file_path, body, n_bytes, written_at."""
+    """A folder tree of tiny text files as rows: file_path, body, n_bytes, written_at; empty files are rows too."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
-    return files.select(F.col("path").alias("file_path"), F.decode("content", "UTF-8").alias("body"), F.col("length").alias("n_bytes"), F.col("modificationTime").alias("written_at"))
+    full = files.select(F.col("path").alias("file_path"), F.decode("content", "UTF-8").alias("body"), F.col("length").alias("n_bytes"), F.col("modificationTime").alias("written_at"))
+    empty = listed(spark, folder, glob).where("length = 0").select(F.col("path").alias("file_path"), F.lit("").alias("body"), F.col("length").alias("n_bytes"), F.col("modified").alias("written_at"))
+    return full.unionByName(empty)
 
 
 def canonical_lines(body: Column) -> Column:

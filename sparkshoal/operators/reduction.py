@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +25,10 @@ def _leaders(groups: list[str], value: str, threshold: int) -> Callable:
     def run(batches):
         current, kept, n = None, np.zeros(1024, dtype=np.uint64), 0
         for batch in batches:
-            take = np.zeros(len(batch), dtype=bool)
-            keys = list(zip(*[batch[g] for g in groups]))
-            values = batch[value].to_numpy(dtype=np.int64).view(np.uint64)
+            take = np.zeros(batch.num_rows, dtype=bool)
+            keys = zip(*[batch.column(g).to_pylist() for g in groups])
+            values = batch.column(value).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for i, (key, v) in enumerate(zip(keys, values)):
-                key = tuple(None if pd.isna(k) else k for k in key)
                 if key != current:
                     current, n = key, 0
                 if n and np.bitwise_count(kept[:n] ^ v).min() <= threshold:
@@ -39,7 +38,7 @@ def _leaders(groups: list[str], value: str, threshold: int) -> Callable:
                 kept[n] = v
                 n += 1
                 take[i] = True
-            yield batch[take]
+            yield batch.filter(pa.array(take))
 
     return run
 
@@ -59,7 +58,7 @@ def near_duplicates(items: DataFrame, groups: list[str], order: list[str], value
     n = len(order)
     rows = firsts.select(*[F.col(f"r.c{n + i}").alias(c) for i, c in enumerate(items.columns)])
     sorted_rows = rows.repartition(*groups).sortWithinPartitions(*groups, *order)
-    return sorted_rows.mapInPandas(_leaders(groups, value, threshold), T.StructType(rows.schema.fields))
+    return sorted_rows.mapInArrow(_leaders(groups, value, threshold), T.StructType(rows.schema.fields))
 
 
 def rarity(labels: DataFrame, item: str, label: str, per: list[str]) -> DataFrame:

@@ -15,9 +15,34 @@ IMAGE_TYPES = [".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp"]  # in
 
 
 def listed(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Files under a folder (path, length, modified); contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
-    return files.select("path", F.col("length"), F.col("modificationTime").alias("modified"))
+    """Files under a folder, empty ones too: path, length, modified; contents are not read.
+
+    The driver lists the top level only, tasks walk what lies below. (Spark's own
+    file sources leave empty files out.)
+    """
+    from pyarrow import fs as pfs
+
+    uri = folder if "://" in folder else Path(folder.removeprefix("file:")).resolve().as_uri()
+    system, root = pfs.FileSystem.from_uri(uri)
+    lead = uri[: len(uri) - len(root.lstrip("/"))].rstrip("/") + "/" if not uri.startswith("file:") else "file:///"
+    top = [(x.path, x.type == pfs.FileType.Directory) for x in system.get_file_info(pfs.FileSelector(root))]
+
+    def walk(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        own, _ = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            rows = []
+            for path, is_folder in zip(batch["path"], batch["is_folder"]):
+                found = own.get_file_info(fs.FileSelector(path, recursive=True)) if is_folder else [own.get_file_info(path)]
+                rows += [(lead + x.path.lstrip("/"), x.size, x.mtime_ns // 1000) for x in found if x.type == fs.FileType.File and fnmatch.fnmatchcase(x.base_name, glob)]
+            yield pd.DataFrame(rows, columns=["path", "length", "micros"])
+
+    tops = spark.createDataFrame(top, "path string, is_folder boolean")
+    if len(top) > 1:
+        tops = tops.repartition(min(len(top), 2000), "path")
+    return tops.mapInPandas(walk, "path string, length long, micros long").select("path", "length", F.timestamp_micros("micros").alias("modified"))
 
 
 def find_images(wanted: DataFrame, name: str, listing: DataFrame, folder: str) -> DataFrame:

@@ -18,6 +18,7 @@ from sparkshoal.functions import boxes as B
 from sparkshoal.functions import pixels
 from sparkshoal.functions.keys import make_group, number
 from sparkshoal.functions.text import SPACE, file_stem, strip_space
+from sparkshoal.operators.packing import read_tiny_files
 
 COCO = "images array<struct<id:bigint,file_name:string,width:double,height:double,dive:string>>, annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>,iscrowd:int>>, categories array<struct<id:bigint,name:string>>"
 VOC = "filename string, size struct<width:string,height:string>, object array<struct<name:string,bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>"
@@ -104,13 +105,13 @@ def read_yolo(spark: SparkSession, images_dir: str, labels_dir: str, dataset: st
     from sparkshoal.sources.listing import IMAGE_TYPES, listed
 
     images = listed(spark, images_dir).where(F.lower("path").rlike("(" + "|".join(x.replace(".", r"\.") for x in IMAGE_TYPES) + ")$"))
-    labels = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(labels_dir).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    labels = read_tiny_files(spark, labels_dir, "*.txt").select(F.col("file_path").alias("path"), "body")
     return yolo_samples(images, labels, dataset, names, **group)
 
 
 def yolo_corpus(spark: SparkSession, root: str) -> DataFrame:
     """A written corpus read again: split, stem and cid of every label line with five parts; images without lines keep one row with a null cid."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(f"{root}/labels").select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = read_tiny_files(spark, f"{root}/labels", "*.txt").select(F.col("file_path").alias("path"), F.col("body").alias("value"))
     parts = raw.select(F.regexp_extract("path", r"/labels/([^/]+)/", 1).alias("split"), file_stem(F.col("path")).alias("image"), F.explode_outer(F.filter(F.transform(F.split("value", r"\r\n|\n|\r"), lambda x: F.split(strip_space(x), f"{SPACE}+")), lambda t: F.size(t) >= 5)).alias("t"))
     return parts.select("split", "image", F.try_element_at("t", F.lit(1)).try_cast("int").alias("cid"))
 
