@@ -15,7 +15,7 @@ import unicodedata
 from collections.abc import Callable, Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -255,7 +255,7 @@ def _look_up(rows: DataFrame, value: str, own: list[str]) -> DataFrame:
     for e in own:
         names.setdefault(" ".join(_WORD.findall(fold(e))), e)
     schema = T.StructType([*rows.schema.fields, T.StructField("_entry", T.StringType()), T.StructField("_distance", T.IntegerType())])
-    return rows.mapInPandas(_searcher(value, names), schema)
+    return rows.mapInArrow(_searcher(value, names), schema)
 
 
 def _searcher(value: str, names: dict[str, str]) -> Callable:
@@ -263,14 +263,14 @@ def _searcher(value: str, names: dict[str, str]) -> Callable:
         tree = BKTree(names)
         seen: dict[str, tuple[str, int] | None] = {}
         for batch in batches:
-            texts = batch[value]
-            new = [x for x in texts.dropna().unique() if x not in seen]
+            texts = batch.column(value).to_pylist()
             if len(seen) > 500_000:
                 seen.clear()
-                new = list(texts.dropna().unique())
+            new = [x for x in dict.fromkeys(texts) if x is not None and x not in seen]
             seen.update(zip(new, match(new, tree, names)))
-            got = [seen.get(x) if isinstance(x, str) else None for x in texts]
-            yield batch.assign(_entry=pd.Series([g[0] if g else None for g in got], index=batch.index, dtype=object), _distance=pd.Series([g[1] if g else None for g in got], index=batch.index, dtype="Int32"))
+            got = [seen[x] if x is not None else None for x in texts]
+            found = [pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "_entry", "_distance"])
 
     return run
 
