@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -14,24 +14,26 @@ from pyspark.sql.window import Window
 from sparkshoal.operators.ranking import spread_row_number
 
 
-def stride(items: DataFrame, groups: list[str], order: list[str], step: int) -> DataFrame:
-    """Every ``step``-th row of each group in order, from the first; a step up to 1 changes nothing."""
-    if step <= 1:
+def stride(items: DataFrame, groups: list[str], order: list[str], step: int | Column) -> DataFrame:
+    """Every ``step``-th row of each group in order, from the first; a step up to 1, or null, keeps all. A column gives each row's step."""
+    if isinstance(step, int) and step <= 1:
         return items
-    return spread_row_number(items, groups, order, "_rn").where((F.col("_rn") - 1) % step == 0).drop("_rn")
+    every = F.greatest(F.coalesce(F.lit(step), F.lit(1)), F.lit(1))
+    return spread_row_number(items, groups, order, "_rn").where((F.col("_rn") - 1) % every == 0).drop("_rn")
 
 
-def _leaders(groups: list[str], value: str, threshold: int) -> Callable:
+def _leaders(groups: list[str], value: str, threshold: str) -> Callable:
     def run(batches):
         current, kept, n = None, np.zeros(1024, dtype=np.uint64), 0
         for batch in batches:
             take = np.zeros(batch.num_rows, dtype=bool)
             keys = zip(*[batch.column(g).to_pylist() for g in groups])
+            limits = batch.column(threshold).to_pylist()
             values = batch.column(value).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, (key, v) in enumerate(zip(keys, values)):
+            for i, (key, v, limit) in enumerate(zip(keys, values, limits)):
                 if key != current:
                     current, n = key, 0
-                if n and np.bitwise_count(kept[:n] ^ v).min() <= threshold:
+                if n and np.bitwise_count(kept[:n] ^ v).min() <= limit:
                     continue
                 if n == len(kept):
                     kept = np.concatenate([kept, np.zeros_like(kept)])
@@ -43,22 +45,27 @@ def _leaders(groups: list[str], value: str, threshold: int) -> Callable:
     return run
 
 
-def near_duplicates(items: DataFrame, groups: list[str], order: list[str], value: str, threshold: int) -> DataFrame:
+def near_duplicates(items: DataFrame, groups: list[str], order: list[str], value: str, threshold: int | Column) -> DataFrame:
     """Rows left when each is dropped that lies within ``threshold`` bits of an earlier kept row of its group.
 
     Not transitive: a row is held only against kept ones. Rows with a null hash
-    go; a threshold up to 0 changes nothing. Of rows with one hash only the first
-    can stay, so the others are taken out before anything is gathered. The rest
-    of a group streams through one task in order, which holds kept hashes only.
+    go; a threshold up to 0, or null, keeps all rows as they are. A column gives
+    the threshold, the same for all rows of a group. Of rows with one hash only
+    the first can stay, so the others are taken out before anything is gathered.
+    The rest of a group streams through one task in order, which holds kept
+    hashes only.
     """
-    if threshold <= 0:
+    if isinstance(threshold, int) and threshold <= 0:
         return items
-    whole = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([*order, *items.columns])])
-    firsts = items.where(F.col(value).isNotNull()).groupBy(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v")).agg(F.min(whole).alias("r"))
+    bits = F.coalesce(F.lit(threshold), F.lit(0)).cast("int")
+    left_alone = items.where(bits <= 0) if isinstance(threshold, Column) else None
+    whole = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([*order, *items.columns])], bits.alias("bits"))
+    firsts = items.where(F.col(value).isNotNull() & (bits > 0)).groupBy(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v")).agg(F.min(whole).alias("r"))
     n = len(order)
-    rows = firsts.select(*[F.col(f"r.c{n + i}").alias(c) for i, c in enumerate(items.columns)])
+    rows = firsts.select(*[F.col(f"r.c{n + i}").alias(c) for i, c in enumerate(items.columns)], F.col("r.bits").alias("_bits"))
     sorted_rows = rows.repartition(*groups).sortWithinPartitions(*groups, *order)
-    return sorted_rows.mapInArrow(_leaders(groups, value, threshold), T.StructType(rows.schema.fields))
+    out = sorted_rows.mapInArrow(_leaders(groups, value, "_bits"), T.StructType(rows.schema.fields)).drop("_bits")
+    return out if left_alone is None else out.unionByName(left_alone)
 
 
 def rarity(labels: DataFrame, item: str, label: str, per: list[str]) -> DataFrame:
@@ -70,24 +77,26 @@ def rarity(labels: DataFrame, item: str, label: str, per: list[str]) -> DataFram
     return counts.groupBy(*per, item).agg(F.round(F.aggregate(ordered, F.lit(0.0), lambda acc, x: acc + x["v"]), 9).alias("rarity"))
 
 
-def capped(items: DataFrame, source: list[str], group: str, order: list[str], limit: int | None, first: str = "seq") -> DataFrame:
+def capped(items: DataFrame, source: list[str], group: str, order: list[str], limit: int | Column | None, first: str = "seq") -> DataFrame:
     """At most ``limit`` rows of each source, taken in turns from its groups, each group's rarest rows first.
 
     ``items`` has ``rarity`` (null counts as 0) and a sequence number ``first``; groups take turns in
-    order of their first appearance. No limit, 0, or no more rows than it: all stay.
+    order of their first appearance. No limit, 0, or no more rows than it: all stay. A column gives each source's limit.
     """
-    if not limit:
+    if limit is None or isinstance(limit, int) and not limit:
         return items
-    # Ranks beyond the limit can't be taken, so a group hands on no more than that many rows.
-    within = Window.partitionBy(*source, group).orderBy(F.desc(F.coalesce("rarity", F.lit(0.0))), *order)
-    ranked = items.withColumn("_rn", F.row_number().over(within)).where(F.col("_rn") <= limit)
+    most = F.coalesce(F.nullif(F.lit(limit), F.lit(0)), F.lit((1 << 31) - 1))
+    placed = items.withColumn("_less", -F.coalesce("rarity", F.lit(0.0)))
+    ranked = spread_row_number(placed, [*source, group], ["_less", *order], "_rn").where(F.col("_rn") <= most)  # ranks beyond the limit can't be taken
     heads = items.groupBy(*source, group).agg(F.min(first).alias("_head"))
-    turns = Window.partitionBy(*source).orderBy("_rn", "_head", group)
-    return ranked.join(heads, [*source, group]).withColumn("_turn", F.row_number().over(turns)).where(F.col("_turn") <= limit).drop("_rn", "_head", "_turn")
+    turns = ranked.join(heads, [*source, group]).select(*items.columns, "_rn", "_head")
+    return spread_row_number(turns, source, ["_rn", "_head", group], "_turn").where(F.col("_turn") <= most).select(*items.columns)
 
 
 def first_of_each(items: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
     """The first ``n`` rows of each group."""
+    if n > 1000:  # more than the optimizer keeps short on the map side
+        return spread_row_number(items, [group], order, "_rn").where(F.col("_rn") <= n).drop("_rn")
     return items.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
 
 
@@ -97,8 +106,7 @@ def round_robin(items: DataFrame, concept: str, concept_ord: str, order: list[st
     ``done`` (column ``key``) lists keys already had; they are skipped and use up
     budget. Result: the rows of ``items`` that are taken, with ``turn``.
     """
-    per_concept = Window.partitionBy(concept).orderBy(*order)
-    placed = items.withColumn("_rn", F.row_number().over(per_concept))
+    placed = spread_row_number(items, [concept], order, "_rn")
     owner = F.min(F.struct(F.col("_rn").alias("_a"), F.col(concept_ord).alias("_b"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(items.columns)]))
     owned = placed.groupBy(F.col(key).alias("_key")).agg(owner.alias("r")).select(F.col("r._a").alias("turn"), *[F.col(f"r.c{i}").alias(c) for i, c in enumerate(items.columns)])
     left = budget

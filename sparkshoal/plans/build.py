@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -11,7 +11,7 @@ from sparkshoal.functions.keys import out_name
 from sparkshoal.functions.text import file_name, group_of
 from sparkshoal.operators import labels, reduction
 from sparkshoal.operators.corpus import split_of
-from sparkshoal.session import table
+from sparkshoal.session import checkpointed, table
 
 #: What each source asks for: keep every n-th frame, how alike frames may be, how many images at most.
 REGISTRY = {"kelpline": {"stride": 2, "near": 6, "cap": 20_000}, "murkbay": {"stride": 2, "near": 6}, "quaycam": {"stride": 3, "near": 6}, "abyssnet": {"near": 4, "cap": 5_000}}
@@ -40,24 +40,23 @@ def mapped(spark: SparkSession, d: str, items: DataFrame) -> DataFrame:
     return out.withColumn("disposition", labels.disposition(F.size("boxes"), F.size("labels"), F.coalesce("negative", F.lit(False))))
 
 
-def thinned(items: DataFrame) -> DataFrame:
-    """Each source thinned as the registry asks: stride, then near-duplicates, then the rarity cap."""
-    parts = [items.where(~F.col("dataset").isin(list(REGISTRY)))]
+def _wish(what: str) -> Column:
+    """What the registry asks of a row's source, null where it asks nothing."""
+    out = F.lit(None).cast("int")
     for source, wish in REGISTRY.items():
-        own = items.where(F.col("dataset") == source)
-        own = reduction.stride(own, ["dataset", "group"], ["name", "sample_id"], wish.get("stride", 1))
-        own = reduction.near_duplicates(own, ["dataset", "group"], ["name", "sample_id"], "dhash", wish.get("near", 0))
-        if wish.get("cap"):
-            flat = own.select("sample_id", F.explode("labels.cid").alias("cid"))
-            rare = reduction.rarity(flat, "sample_id", "cid", [])
-            own = reduction.capped(own.join(rare, "sample_id", "left"), ["dataset"], "group", ["name", "sample_id"], wish["cap"], "sample_id").drop("rarity")
-        parts.append(own)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        if what in wish:
+            out = F.when(F.col("dataset") == source, F.lit(wish[what])).otherwise(out)
     return out
 
 
+def thinned(items: DataFrame) -> DataFrame:
+    """Each source thinned as the registry asks: stride, then near-duplicates, then the rarity cap; one plan for all sources."""
+    own = reduction.stride(items, ["dataset", "group"], ["name", "sample_id"], _wish("stride"))
+    own = checkpointed(items.sparkSession, reduction.near_duplicates(own, ["dataset", "group"], ["name", "sample_id"], "dhash", _wish("near")))
+    rare = reduction.rarity(own.select("dataset", "sample_id", F.explode("labels.cid").alias("cid")), "sample_id", "cid", ["dataset"])
+    return reduction.capped(own.join(rare, ["dataset", "sample_id"], "left"), ["dataset"], "group", ["name", "sample_id"], _wish("cap"), "sample_id").drop("rarity")
+
+
 def fitted(items: DataFrame) -> DataFrame:
     """Labels moved to the target geometry; images of unknown size keep theirs; annotated images left without labels go."""
     as_box = F.transform("labels", lambda x: B.box(x["cid"].cast("string"), x["cx"], x["cy"], x["w"], x["h"]))
