@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,11 @@ def nearest(pattern: str, peq: dict[str, int], text: str) -> int:
     return best
 
 
+def _bag(text: str) -> np.ndarray:
+    """How often each byte occurs in a text."""
+    return np.bincount(np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8), minlength=256)
+
+
 def _finder(items: list[tuple[int, str]], words: int, errors: int) -> Callable:
     def run(batches):
         import ahocorasick
@@ -84,7 +90,8 @@ def _finder(items: list[tuple[int, str]], words: int, errors: int) -> Callable:
             automaton.add_word(piece, (len(piece), where))
         if at:
             automaton.make_automaton()
-        peq = [masks(p) for p in texts]
+        peq, bags = [masks(p) for p in texts], [_bag(p) for p in texts]
+        slack = [errors if p.isascii() else 4 * errors for p in texts]  # an edit changes at most four bytes
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
@@ -92,14 +99,23 @@ def _finder(items: list[tuple[int, str]], words: int, errors: int) -> Callable:
                     continue
                 body = plain(text)
                 best: dict[int, int] = {}
+                tried: set[tuple[int, int]] = set()
                 for end, (size, where) in automaton.iter(body):
                     start = end - size + 1
                     for k, place in where:
                         if best.get(k) == 0:
                             continue
                         lo = start - place
+                        if (k, lo) in tried:  # another piece of the passage led here
+                            continue
+                        tried.add((k, lo))
                         around = body[max(0, lo - errors) : max(0, lo) + len(texts[k]) + errors]
-                        d = 0 if texts[k] in around else nearest(texts[k], peq[k], around)
+                        if texts[k] in around:
+                            d = 0
+                        elif np.maximum(bags[k] - _bag(around), 0).sum() > slack[k]:  # more letters are missing than edits could supply
+                            continue
+                        else:
+                            d = nearest(texts[k], peq[k], around)
                         if d <= errors:
                             best[k] = min(d, best.get(k, d))
                 found: dict[int, list[int]] = {}
