@@ -30,6 +30,9 @@ RUN = re.compile(r"(?:(?:\(\+?|\+)|(?<![^\W_])(?:[A-Z]{1,3}|qq)[ \-]?(?=\d))?(?<
 EMAIL = re.compile(r"[\w.+%\-]*\w ?(?:[@＠]|[\[(]at[\])]) ?\w[\w\-]*(?:(?:\.| ?[\[(]dot[\])] ?| dot )\w[\w\-]*)+", re.I)
 EMAIL_SPACED = re.compile(r"[\w.+%\-]*\w ?(?:[@＠]| ?[\[(]at[\])]) ?\w[\w\-]*(?:(?:\.| ?[\[(]dot[\])] ?| dot )\w[\w\-]*)+", re.I)
 WINDOW, MARGIN = 4096, 64
+TOKEN_OR_BREAK = re.compile(r"\n|" + TOKEN.pattern)
+#: What Python counts as white space, but for the line break.
+SPACES = np.array([c for c in range(0x3001) if chr(c).isspace() and c != 10], dtype=np.uint32)
 OFFSETS = (0, -1, 1, -2, 2)
 
 
@@ -229,6 +232,7 @@ class Tagger:
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.known = {k.split("|w=", 1)[1] for k in model.index if "|w=" in k}
         self.clear()
 
     def clear(self) -> None:
@@ -239,15 +243,21 @@ class Tagger:
         self.scores = [edge]
         self.shapes: dict[str, int] = {"^": 0}
         self.shape_of = [0]
-        self.pair_scores: dict[tuple[int, int, int], np.ndarray] = {}
+        self.pair_scores: dict[int, np.ndarray] = {}
         self.matrix = np.zeros((0, 5, len(LABELS)), dtype=np.float32)
-        self.run_scores: dict[str, np.ndarray] = {}
+        self.run_scores: dict[tuple[str, ...], tuple[np.ndarray, np.ndarray]] = {}
 
     def _sum(self, feats: Iterable[str]) -> np.ndarray:
         own = [self.model.index[f] for f in feats if f in self.model.index]
         return self.model.weights[own].sum(axis=0) if own else np.zeros(len(LABELS), dtype=np.float32)
 
     def _word(self, token: str) -> int:
+        if token[0].isdigit() and token not in self.known:  # numbers the table doesn't know differ by length and first digits only
+            alike = f"\n{min(len(token), 11)}{token[:2]}"
+            if alike in self.ids:
+                self.ids[token] = self.ids[alike]
+                return self.ids[token]
+            self.ids[alike] = len(self.scores)
         mine, near, far = own_features(token)
         row = np.empty((5, len(LABELS)), dtype=np.float32)
         for k, o in enumerate(OFFSETS):
@@ -257,62 +267,47 @@ class Tagger:
         self.ids[token] = len(self.scores) - 1
         return len(self.scores) - 1
 
-    def emissions(self, texts: list[str], words: list[list[str]], starts: list[np.ndarray], ends: list[np.ndarray]) -> np.ndarray:
-        """Label scores of all tokens of several lines."""
-        ids = self.ids
-        flat: list[int] = []
-        for line in words:
-            flat += [0, 0]
-            flat += [ids[w] if w in ids else self._word(w) for w in line]
-        flat += [0, 0]
-        ty = np.array(flat, dtype=np.int64)
+    def _emissions(self, ty: np.ndarray, glued: np.ndarray) -> np.ndarray:
+        """Label scores of all tokens (word numbers, 0 between lines) from their own and their neighbours' features."""
         if len(self.matrix) != len(self.scores):
             self.matrix = np.concatenate([self.matrix, np.stack(self.scores[len(self.matrix) :])])
-        emit = self.matrix[ty, 0].copy()
+        emit = self.matrix[ty, 0]
         for k, o in enumerate(OFFSETS[1:], 1):
             if o < 0:
                 emit[-o:] += self.matrix[ty[:o], k]
             else:
                 emit[:-o] += self.matrix[ty[o:], k]
-        real = ty > 0
-        emit = emit[real]
         sh = np.array(self.shape_of, dtype=np.int64)[ty]
-        prev = np.concatenate(([0], sh[:-1]))[real]
-        now = sh[real]
-        s, e = np.concatenate(starts), np.concatenate(ends)
-        glued = np.zeros(len(s), dtype=np.int64)
-        glued[1:] = s[1:] == e[:-1]
-        sizes = np.array([len(x) for x in words])
-        heads = (np.concatenate(([0], np.cumsum(sizes)[:-1])))[sizes > 0]
-        glued[heads] = 0
-        code = (prev * 4096 + now) * 2 + glued
+        code = (np.concatenate(([0], sh[:-1])) * 4096 + sh) * 2 + glued
         names = list(self.shapes)
         kinds, at = np.unique(code, return_inverse=True)
-        rows = []
         for c in kinds.tolist():
             if c not in self.pair_scores:
-                p, q, g = c // 2 // 4096, c // 2 % 4096, c % 2
-                self.pair_scores[c] = self._sum([f"p|{names[p]}|{g}|{names[q]}"])
-            rows.append(self.pair_scores[c])
-        if rows:
-            emit += np.stack(rows)[at]
-        base = 0
-        for text, line, st in zip(texts, words, starts):
-            if line and any(w[0].isdigit() for w in line):
-                for a, b, fs in run_features(text, line, st):
-                    emit[base + a] += self._cached("F|", fs)
-                    if b > a + 1:
-                        emit[base + a + 1 : base + b] += self._cached("R|", fs)
-            base += len(line)
+                self.pair_scores[c] = self._sum([f"p|{names[c // 2 // 4096]}|{c % 2}|{names[c // 2 % 4096]}"])
+        emit += np.stack([self.pair_scores[c] for c in kinds.tolist()])[at]
         return emit
 
-    def _cached(self, lead: str, feats: tuple[str, ...]) -> np.ndarray:
-        out = np.zeros(len(LABELS), dtype=np.float32)
-        for f in feats:
-            key = lead + f
-            if key in self.model.index:
-                out += self.model.weights[self.model.index[key]]
-        return out
+    def _add_runs(self, text: str, words: list[str], starts: np.ndarray, emit: np.ndarray) -> None:
+        """Adds the scores of runs of digit groups to their tokens."""
+        runs = [(m.start(), m.end(), m.group()) for m in RUN.finditer(text) if m.end() - m.start() > 4 and sum(map(str.isdigit, m.group())) > 4]
+        if not runs:
+            return
+        first = np.searchsorted(starts, [r[0] for r in runs]).tolist()
+        after = np.searchsorted(starts, [r[1] for r in runs]).tolist()
+        for (_, _, run), a, b in zip(runs, first, after):
+            before: list[str] = []
+            for w in reversed(words[max(0, a - 4) : a]):
+                if w == "\n":
+                    break
+                if w[0].isalpha() and len(before) < 2:
+                    before.append(w.lower())
+            full, rough = signature(run)
+            feats = (f"r={full}", f"q={rough}", *[f"l{i}={w}" for i, w in enumerate(before)], f"r+l={full}|{before[0] if before else ''}")
+            if feats not in self.run_scores:
+                self.run_scores[feats] = (self._sum("F|" + f for f in feats), self._sum("R|" + f for f in feats))
+            head, rest = self.run_scores[feats]
+            emit[a] += head
+            emit[a + 1 : b] += rest
 
     def decode(self, emit: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Best label path of every chain (Viterbi), chains side by side."""
@@ -343,28 +338,42 @@ class Tagger:
         return out
 
     def lines(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
-        """Spans (start, end, kind) of each of several short texts, as labelled by the model."""
-        parts = [tokens_of(t) for t in texts]
-        words, starts, ends = [p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts]
-        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        """Spans (start, end, kind) of each of several lines, as labelled by the model.
+
+        All lines go through as one text with two breaks between them, so that
+        words, places and scores are found by few calls over whole arrays.
+        """
         found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-        if lengths.sum() == 0:
+        whole = "\n\n" + "\n\n".join(texts) + "\n\n"
+        words = TOKEN_OR_BREAK.findall(whole)
+        ids, word = self.ids, self._word
+        ty = np.array([ids[w] if w in ids else word(w) for w in words], dtype=np.int64)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        solid = np.flatnonzero(~np.isin(codes, SPACES))  # tokens cover all that is no white space, in order
+        last = np.cumsum(sizes)
+        starts, ends = solid[last - sizes], solid[last - 1] + 1
+        real = ty > 0
+        if not real.any():
             return found
-        emit = self.emissions(texts, words, starts, ends)
-        filled = np.flatnonzero(lengths)
-        labels = self.decode(emit, lengths[filled])
-        heads = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        for at in np.flatnonzero(labels % 2 == 1):  # odd labels begin a span
-            line = int(np.searchsorted(heads, at, side="right")) - 1
-            while lengths[line] == 0:
-                line -= 1
-            a = b = int(at - heads[line])
-            while b + 1 < lengths[line] and labels[heads[line] + b + 1] == labels[at] + 1:
+        glued = np.zeros(len(ty), dtype=np.int64)
+        glued[1:] = (starts[1:] == ends[:-1]) & real[1:] & real[:-1]
+        emit = self._emissions(ty, glued)
+        self._add_runs(whole, words, starts, emit)
+        edges = np.diff(np.concatenate(([0], real.view(np.int8), [0])))
+        heads, lengths = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1)
+        labels = np.zeros(len(ty), dtype=np.int8)
+        labels[real] = self.decode(emit[real], lengths)
+        begins = np.cumsum([2] + [len(t) + 2 for t in texts])  # where each line starts in the whole
+        for at in np.flatnonzero(labels % 2 == 1).tolist():  # odd labels begin a span
+            line = int(np.searchsorted(begins, starts[at], side="right")) - 1
+            b = at
+            while labels[b + 1] == labels[at] + 1:
                 b += 1
-            found[line].append((int(starts[line][a]), int(ends[line][b]), LABELS[labels[at]][2:]))
+            found[line].append((int(starts[at] - begins[line]), int(ends[b] - begins[line]), LABELS[labels[at]][2:]))
         return found
 
-    def texts(self, texts: list[str], budget: int = 400_000) -> list[list[tuple[int, int, str]]]:
+    def texts(self, texts: list[str], budget: int = 1_000_000) -> list[list[tuple[int, int, str]]]:
         """Checked spans of whole texts. Lines are labelled apart; a line of many tokens in windows that overlap."""
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         queue: list[tuple[int, int, int, int, str]] = []
@@ -372,7 +381,7 @@ class Tagger:
 
         def flush() -> None:
             nonlocal queue, held
-            if len(self.ids) > 400_000:
+            if len(self.ids) + len(self.run_scores) > 400_000:
                 self.clear()
             for (owner, base, lo, hi, _), spans in zip(queue, self.lines([q[4] for q in queue])):
                 out[owner] += [(a + base, b + base, k) for a, b, k in spans if lo <= a + base < hi]
