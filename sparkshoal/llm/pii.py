@@ -30,6 +30,7 @@ RUN = re.compile(r"(?:(?:\(\+?|\+)|(?<![^\W_])(?:[A-Z]{1,3}|qq)[ \-]?(?=\d))?(?<
 EMAIL = re.compile(r"[\w.+%\-]*\w ?(?:[@＠]|[\[(]at[\])]) ?\w[\w\-]*(?:(?:\.| ?[\[(]dot[\])] ?| dot )\w[\w\-]*)+", re.I)
 EMAIL_SPACED = re.compile(r"[\w.+%\-]*\w ?(?:[@＠]| ?[\[(]at[\])]) ?\w[\w\-]*(?:(?:\.| ?[\[(]dot[\])] ?| dot )\w[\w\-]*)+", re.I)
 WINDOW, MARGIN = 4096, 64
+CLOSE = 6  # no run of digit groups has more characters than these between digits, or before its first
 TOKEN_OR_BREAK = re.compile(r"\n|" + TOKEN.pattern)
 #: What Python counts as white space, but for the line break.
 SPACES = np.array([c for c in range(0x3001) if chr(c).isspace() and c != 10], dtype=np.uint32)
@@ -287,9 +288,19 @@ class Tagger:
         emit += np.stack([self.pair_scores[c] for c in kinds.tolist()])[at]
         return emit
 
-    def _add_runs(self, text: str, words: list[str], starts: np.ndarray, emit: np.ndarray) -> None:
-        """Adds the scores of runs of digit groups to their tokens."""
-        runs = [(m.start(), m.end(), m.group()) for m in RUN.finditer(text) if m.end() - m.start() > 4 and sum(map(str.isdigit, m.group())) > 4]
+    def _add_runs(self, text: str, words: list[str], ty: np.ndarray, starts: np.ndarray, ends: np.ndarray, emit: np.ndarray) -> None:
+        """Adds the scores of runs of digit groups to their tokens. Runs are looked for only where five digits stand close."""
+        digit_shape = np.array([n[0] == "d" and n[1:].isdigit() for n in self.shapes])
+        at = np.flatnonzero(digit_shape[np.array(self.shape_of)[ty]])
+        if not len(at):
+            return
+        fresh = np.concatenate(([True], starts[at[1:]] - ends[at[:-1]] > CLOSE))
+        heads = np.flatnonzero(fresh)
+        digits = np.add.reduceat(ends[at] - starts[at], heads)
+        tails = np.append(heads[1:], len(at)) - 1
+        dense = digits > 4
+        places = zip(starts[at[heads[dense]]].tolist(), ends[at[tails[dense]]].tolist())
+        runs = [(m.start(), m.end(), m.group()) for a, b in places for m in RUN.finditer(text, a - CLOSE, b + CLOSE) if m.end() - m.start() > 4 and sum(map(str.isdigit, m.group())) > 4]
         if not runs:
             return
         first = np.searchsorted(starts, [r[0] for r in runs]).tolist()
@@ -359,7 +370,7 @@ class Tagger:
         glued = np.zeros(len(ty), dtype=np.int64)
         glued[1:] = (starts[1:] == ends[:-1]) & real[1:] & real[:-1]
         emit = self._emissions(ty, glued)
-        self._add_runs(whole, words, starts, emit)
+        self._add_runs(whole, words, ty, starts, ends, emit)
         edges = np.diff(np.concatenate(([0], real.view(np.int8), [0])))
         heads, lengths = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1)
         labels = np.zeros(len(ty), dtype=np.int8)
