@@ -73,8 +73,12 @@ def corpus(spark: SparkSession, d: str, seed: int = 42) -> DataFrame:
     return out.withColumn("split", split_of(seed, F.col("dataset"), F.col("group"))).withColumn("out_name", out_name(F.col("dataset"), F.col("image_path")))
 
 
+def dispositions(spark: SparkSession, d: str) -> DataFrame:
+    """Images of each dataset by what becomes of them when labels are mapped."""
+    return mapped(spark, d, samples(spark, d)).groupBy("dataset").agg(F.count("*").alias("images"), *[F.count_if(F.col("disposition") == k).alias(k) for k in ("kept", "negative", "dropped_all_labels", "no_annotations")])
+
+
 def funnel(spark: SparkSession, d: str) -> DataFrame:
-    """Images by dataset and disposition before thinning, and how many the corpus keeps."""
-    before = mapped(spark, d, samples(spark, d)).groupBy("dataset").agg(F.count("*").alias("images"), *[F.count_if(F.col("disposition") == k).alias(k) for k in ("kept", "negative", "dropped_all_labels", "no_annotations")])
+    """Dispositions before thinning, and how many images the corpus keeps."""
     after = corpus(spark, d).groupBy("dataset").agg(F.count("*").alias("built"))
-    return before.join(after, "dataset", "left").withColumn("built", F.coalesce("built", F.lit(0)))
+    return dispositions(spark, d).join(after, "dataset", "left").withColumn("built", F.coalesce("built", F.lit(0)))

@@ -38,6 +38,7 @@ def micro(c: Column) -> Column:
     return F.floor(c * 1e6 + 0.5)
 
 
+_SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 SPLIT = "case when b < 80 then 'train' when b < 90 then 'val' else 'test' end"
 BUCKET = "('0x' || substr(md5({}), 1, 8))::bigint % 100"
 SKEW = "floor(log2(1 + l_partkey % 256))::int"
@@ -600,6 +601,20 @@ def progress_recompute(spark, d):
     return spark.read.parquet(f"{folder}/out")
 
 
+# Labels meet the reviewed map exactly or without regard to case, or name a class themselves.
+STATS_SQL = rf"""with s as (select *, row_number() over (partition by sample_id order by ingested_at nulls first, dataset nulls first, image_path nulls first, group_key nulls first, negative nulls first) nth from samples where sample_id is not null),
+b as (select distinct box_id, sample_id, label from boxes where {VALID}),
+m as (select lower(concept) k from fathomnet_concept_map where coalesce(unified_class, '') <> '' union select unified_class from fathomnet_concept_map where coalesce(unified_class, '') <> ''),
+x as (select sample_id, count(*) boxes, count(k) kept from b left join m on k = lower(regexp_replace(label, '^{_SPACE}+|{_SPACE}+$', '', 'g')) group by 1),
+y as (select dataset, case when kept > 0 then 'kept' when boxes > 0 then 'dropped_all_labels' when negative then 'negative' else 'no_annotations' end disposition from s left join x using (sample_id) where nth = 1)
+select dataset, count(*) images, count(*) filter (where disposition = 'kept') kept, count(*) filter (where disposition = 'negative') negative, count(*) filter (where disposition = 'dropped_all_labels') dropped_all_labels, count(*) filter (where disposition = 'no_annotations') no_annotations from y group by dataset"""
+
+
+@query(STATS_SQL)
+def reader_stats(spark, d):
+    return build.dispositions(spark, d)
+
+
 @query()
 def corpus_build(spark, d):
     return build.corpus(spark, d).select("dataset", "image_path", "group", "split", "out_name", F.size("labels").alias("n_labels"), "disposition")
@@ -613,7 +628,6 @@ def corpus_funnel(spark, d):
 for name in ("p6_found", "p6_records", "p6_layout"):
     QUERIES[name] = getattr(packing, name)
 
-_SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _FILES = rf"""with f as (select file_id, file_path, body, written_at, case when coalesce(regexp_replace(out_name, '{_SPACE}', '', 'g'), '') = '' then regexp_replace(regexp_extract(file_path, '[^/]*$'), '(.)\.[^.]*$', '\1') else out_name end image,
 list_sort(list_filter(list_transform(regexp_split_to_array(coalesce(body, ''), '\r\n|[\n\r\x0B\f\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g')), lambda x: x <> '')) lines from label_files)"""
 SQL["p6_found"] = _FILES + " select a.file_id lo_file_id, b.file_id hi_file_id from f a join f b on a.image = b.image and a.lines = b.lines and a.file_id < b.file_id"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -53,6 +55,11 @@ def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task (functions sent by value get new globals with every task)."""
+    return sys.modules.setdefault("_sparkshoal_worker", types.ModuleType("_sparkshoal_worker")).__dict__.setdefault("kept", {})
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
     """Session settings (dots written as double underscores) for the length of a block."""

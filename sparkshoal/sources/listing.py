@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,14 +54,14 @@ def find_images(wanted: DataFrame, name: str, listing: DataFrame, folder: str) -
     base = folder.rstrip("/")
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     rank = F.array_position(F.array(*[F.lit(x) for x in IMAGE_TYPES]), ext)
-    files = listing.select("path", file_name(F.col("path")).alias("_file"), file_stem(F.col("path")).alias("_stem"), rank.alias("_rank"), (F.substring_index("path", "/", -1) == F.regexp_replace("path", r"^(file:)?/*" + "(?:" + base.replace("file:", "").lstrip("/").replace(".", r"\.") + r")/", "")).alias("_direct"))
-    w = wanted.withColumn("_want_stem", file_stem(F.col(name))).withColumn("_want", F.monotonically_increasing_id())
+    files = listing.select("path", file_name(F.col("path")).alias("_file"), file_stem(F.col("path")).alias("_stem"), rank.alias("_rank"), (F.substring_index("path", "/", -1) == F.regexp_replace("path", r"^(file:)?/*" + "(?:" + re.escape(base.replace("file:", "").lstrip("/")) + r")/", "")).alias("_direct"))
+    w = wanted.withColumn("_want_stem", file_stem(F.col(name)))
     hits = w.join(files, F.col("_want_stem") == F.col("_stem"))
     literal = F.col("_direct") & (F.col("_file") == F.col(name))
     tier = F.when(literal, 0).when(F.col("_direct") & (F.col("_rank") > 0), 1).when(F.col("_rank") > 0, 2)
     best = hits.withColumn("_tier", tier).where("_tier is not null").groupBy(F.col(name).alias("_name")).agg(F.min(F.struct("_tier", "_rank", "path")).alias("_best"))
     out = w.join(best, F.col(name) == F.col("_name"), "left").withColumn("image_path", F.col("_best.path"))
-    return out.drop("_want_stem", "_want", "_name", "_best")
+    return out.drop("_want_stem", "_name", "_best")
 
 
 def resolve_path(root: str, pattern: str, folder: bool = False) -> str | None:
