@@ -10,6 +10,7 @@ number, and so on, and ends are moved to the ends of the form they lie in.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkshoal.llm import pii_table
-from sparkshoal.session import table
+from sparkshoal.session import table, worker_cache
 
 KINDS = ["email", "phone", "id_number", "address", "person_name"]
 LABELS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
@@ -50,7 +51,6 @@ def shape(token: str) -> str:
     return "Xx" if token[1:].islower() else "xX"
 
 
-@lru_cache(maxsize=300_000)
 def own_features(token: str) -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
     """Features a token gives itself, its neighbours, and the tokens two away."""
     low, form = token.lower(), shape(token)
@@ -96,8 +96,9 @@ def run_features(text: str, words: list[str], starts: np.ndarray) -> list[tuple[
 class Model:
     """Weights of the field: one row of label weights for each feature, transitions, and starts."""
 
-    def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray, first: np.ndarray, pairs: dict[str, int]) -> None:
-        self.index, self.weights, self.moves, self.first, self.pairs = index, weights, moves, first, pairs
+    def __init__(self, index: dict[str, int], weights: np.ndarray, moves: np.ndarray, first: np.ndarray) -> None:
+        self.index, self.weights, self.moves, self.first = index, weights, moves, first
+        self.mark = hashlib.md5(weights.tobytes() + moves.tobytes() + first.tobytes()).hexdigest()
 
 
 def _token_features(text: str) -> tuple[list[str], np.ndarray, list[list[str]]]:
@@ -191,7 +192,7 @@ def train(copies: int = 12, epochs: int = 8, rate: float = 0.25, decay: float =
     weights = weights.astype(np.float32)
     keep = np.abs(weights).max(axis=1) > 1e-3
     names = [k for k in index if keep[index[k]]]
-    return Model({k: i for i, k in enumerate(names)}, weights[keep], np.where(ok, moves, -1e9).astype(np.float32), np.where(ok_first, first, -1e9).astype(np.float32), {})
+    return Model({k: i for i, k in enumerate(names)}, weights[keep], np.where(ok, moves, -1e9).astype(np.float32), np.where(ok_first, first, -1e9).astype(np.float32))
 
 
 def _expected(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray, first: np.ndarray, ok: np.ndarray, ok_first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -384,7 +385,7 @@ class Tagger:
             found[line].append((int(starts[at] - begins[line]), int(ends[b] - begins[line]), LABELS[labels[at]][2:]))
         return found
 
-    def texts(self, texts: list[str], budget: int = 1_000_000) -> list[list[tuple[int, int, str]]]:
+    def texts(self, texts: list[str], budget: int = 3_000_000) -> list[list[tuple[int, int, str]]]:
         """Checked spans of whole texts. Lines are labelled apart; a line of many tokens in windows that overlap."""
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
         queue: list[tuple[int, int, int, int, str]] = []
@@ -489,10 +490,13 @@ def check(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int,
 
 def _tagging(model: Model, extra: str | None) -> Callable:
     def run(batches):
-        tagger = Tagger(model)
+        kept = worker_cache()
+        if kept.get("pii model") != model.mark:
+            kept["pii model"], kept["pii tagger"] = model.mark, Tagger(model)
+        tagger = kept["pii tagger"]
         for batch in batches:
-            for at in range(0, max(1, len(batch)), 2000):
-                part = batch.iloc[at : at + 2000]
+            for at in range(0, max(1, len(batch)), 4000):
+                part = batch.iloc[at : at + 4000]
                 texts = [t if isinstance(t, str) else "" for t in part["text"]]
                 spans = tagger.texts(texts)
                 if extra is None:
