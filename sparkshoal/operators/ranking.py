@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkshoal.session import checkpointed
+
 
 def spread_row_number(df: DataFrame, groups: list[str], order: list[str], name: str = "rn") -> DataFrame:
     """``df`` with the row number (from 1) of each row in its group, without gathering a group in one task.
@@ -16,7 +18,9 @@ def spread_row_number(df: DataFrame, groups: list[str], order: list[str], name:
     ``order`` must tell all rows of a group apart, else ties fall as they come.
     """
     keys = [*groups, *order]
+    # Places are read twice, by the stretches and by the rows; written down once, they are the same for both whatever is run again or planned otherwise.
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+    placed = checkpointed(df.sparkSession, placed)
     stretch = placed.groupBy(*groups, "_part").agg(F.min("_mid").alias("_first"), F.count("*").alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = stretch.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_part").alias("_p"), "_first", before.alias("_before"))

@@ -126,6 +126,9 @@ def test_row_numbers_over_any_number_of_partitions(spark):
     by = defaultdict(list)
     for g, p, i in data:
         by[g].append((p, i))
+    # Rows that come out of a shuffle in any order, and partitions joined at run time, give the same numbers.
+    wide = df.withColumn("payload", F.repeat(F.lit("x"), 2000)).repartition(7, F.rand())
+    assert {x.i: x.rn for x in ranking.spread_row_number(wide, ["g"], ["p", "i"]).collect()} == got
     assert got == {i: n for q in by.values() for n, (_, i) in enumerate(sorted(q), 1)}
 
 
