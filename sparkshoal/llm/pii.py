@@ -101,9 +101,9 @@ class Model:
         self.mark = hashlib.md5(weights.tobytes() + moves.tobytes() + first.tobytes()).hexdigest()
 
 
-def _token_features(text: str) -> tuple[list[str], np.ndarray, list[list[str]]]:
+def _token_features(text: str, features: Callable = own_features) -> tuple[list[str], np.ndarray, list[list[str]]]:
     words, starts, ends = tokens_of(text)
-    own = [own_features(w) for w in words]
+    own = [features(w) for w in words]
     feats: list[list[str]] = []
     for i in range(len(words)):
         f = [f"0|{x}" for x in own[i][0]]
@@ -136,9 +136,9 @@ def allowed() -> tuple[np.ndarray, np.ndarray]:
 @lru_cache(maxsize=2)
 def train(copies: int = 12, epochs: int = 8, rate: float = 0.25, decay: float = 2e-5, batch: int = 192, seed: int = 7) -> Model:
     """Maximum-likelihood weights by AdaGrad over the labelled table (``copies`` bounds its rows: under 300 a copy)."""
-    rows = []
+    rows, features = [], lru_cache(maxsize=None)(own_features)
     for text, spans in pii_table.labelled(copies, seed):
-        words, starts, feats = _token_features(text)
+        words, starts, feats = _token_features(text, features)
         gold = np.zeros(len(words), dtype=np.int64)
         for a, b, kind in spans:
             inside = [i for i, s in enumerate(starts) if a <= s < b]
