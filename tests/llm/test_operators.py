@@ -336,6 +336,23 @@ def test_raking_meets_its_margins():
     assert (want <= tokens * 3 + 1e-6).all()
 
 
+def test_texts_are_counted_whole(spark):
+    import base64
+
+    import tiktoken
+
+    with open(mixing.TOKENIZER, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    code = tiktoken.Encoding("own", pat_str=mixing.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    prose = "The sled drifted north past the second lamp, and nothing was seen. " * 50
+    link = "https://x.example/" + "aZ3/" * 600
+    texts = [prose + link + " " + prose, prose + "水" * 3000, "z" * 5000, prose + " " * 1500 + prose, prose + " \n" * 900 + "x " + link, prose + "\t" * 2000, " " * 1200, prose + "\x1c" * 1500 + "y", "", prose]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(len(texts), None), (len(texts) + 1, "a" + " " * 1_000_000 + "b")], "i int, text string")
+    got = [r.n for r in df.select("i", mixing.token_counts()("text").alias("n")).orderBy("i").collect()]
+    assert got[:-2] == [len(code.encode_ordinary(t)) for t in texts]
+    assert got[-2] == 0 and got[-1] > 2
+
+
 def test_mix_keeps_shares_and_caps(spark):
     r = random.Random(4)
     data = [(i, " ".join(r.choice(["sea", "boat", "mask", "epoch"]) for _ in range(r.randrange(5, 60))) + f" {i}", r.choice(["en", "de", None, "xx"]), r.choice(["a"] * 6 + ["b", "c", None, "other"]), i) for i in range(1500)]
