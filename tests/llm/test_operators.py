@@ -372,6 +372,29 @@ def test_mix_keeps_shares_and_caps(spark):
     assert mixing.mix(docs.limit(0), goals)[0].count() == 0 and mixing.mix(docs, goals.limit(0))[0].count() == 0
 
 
+@pytest.mark.parametrize("longs,words,uses", [(1, 40_000, 0.25), (20, 30_000, 0.02)])
+def test_long_texts_do_not_end_a_draw(spark, longs, words, uses):
+    # The mix is as large as "scarce" allows, so "big" is drawn at well under one use per text.
+    small = [(i, "sea " * 199 + f"n{i}", "en", "big") for i in range(1000)]
+    long = [(10_000 + i, "sea " * words + f"n{i}", "en", "big") for i in range(longs)]
+    tokens = 200_000 + longs * words
+    scarce = [(20_000 + i, "boat " * 199 + f"m{i}", "en", "scarce") for i in range(int(tokens * uses / 200))]
+    docs = spark.createDataFrame(small + long + scarce, "doc_id long, text string, lang string, source string")
+    goals = spark.createDataFrame([("big", 0.5, 1), ("scarce", 0.5, 1)], "source string, target_share double, max_repeats int")
+    size = Counter()
+    for seed in range(4):
+        for g in mixing.mix(docs, goals, seed=seed)[0].collect():
+            size[g.source, seed] += g.copies * g.tokens
+    assert all(abs(size["big", seed] / (size["big", seed] + size["scarce", seed]) - 0.5) < 0.02 for seed in range(4))
+
+
+def test_a_draw_passes_over_what_is_too_large():
+    assert mixing.fill([(0, 10), (1, 500), (2, 10), (3, 30), (4, 10)], 30) == [0, 2, 4]
+    assert mixing.fill([(0, 10), (1, 50), (2, 10), (3, 30), (4, 21)], 30) == [0, 2]
+    assert mixing.fill([(0, 10), (1, 50), (2, 10), (3, 30), (4, 21)], 31) == [0, 2, 4]
+    assert mixing.fill([(0, 10)], 0) == [] and mixing.fill([], 5) == []
+
+
 # ---------------------------------------------------------------- 9 personal information
 
 
