@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkshoal.operators.labels import small
+from sparkshoal.session import checkpointed
 
 
-def closure(spark: SparkSession, edges: DataFrame, most_levels: int = 100) -> DataFrame:
-    """Descendants of every taxon (taxon, descendant) from parent edges (parent, child); cycles end."""
-    view = "sparkshoal_edges"
-    edges.select("parent", "child").distinct().createOrReplaceTempView(view)
-    return spark.sql(f"with recursive t(taxon, descendant, level) as (select parent, child, 1 from {view} union all select t.taxon, e.child, level + 1 from t join {view} e on t.descendant = e.parent where level < {most_levels}) select distinct taxon, descendant from t")
+def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """Descendants of every taxon (taxon, descendant) from parent edges (parent, child), however far down; cycles end.
+
+    Every round joins the pairs found so far with each other, so paths double in
+    length, until no pair is new: 8 rounds for a chain of 200 levels.
+    """
+    pairs = checkpointed(spark, edges.select(F.col("parent").alias("taxon"), F.col("child").alias("descendant")).distinct())
+    had, now = -1, pairs.count()
+    while had < now:
+        below = pairs.select(F.col("taxon").alias("descendant"), F.col("descendant").alias("lower"))
+        longer = pairs.join(below, "descendant").select("taxon", F.col("lower").alias("descendant"))
+        pairs = checkpointed(spark, pairs.union(longer).distinct())
+        had, now = now, pairs.count()
+    return pairs
 
 
 def concept_frequency(records: DataFrame) -> DataFrame:

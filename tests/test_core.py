@@ -421,3 +421,11 @@ def test_manifest_and_lists(spark, tmp_path):
     tables.write_lines(df, "out_name", ["out_name"], f"{tmp_path}/l", by="split")
     assert rows(spark.read.text(f"{tmp_path}/l/split=train")) == [("b",)]
     assert tables.dataset_yaml({1: "b", 0: "a"}, "t", "v", "x").splitlines()[-2:] == ["  0: a", "  1: b"]
+
+
+def test_closure_reaches_the_end_of_deep_chains_and_cycles(spark):
+    edges = [(i, i + 1) for i in range(150)] + [(1000, 1001), (1001, 1000), (None, 1), (3, None), (0, 1)]
+    df = spark.createDataFrame(edges, "parent long, child long")
+    got = {tuple(r) for r in concepts.closure(spark, df).collect()}
+    want = {(i, j) for i in range(150) for j in range(i + 1, 151)} | {(a, b) for a in (1000, 1001) for b in (1000, 1001)} | {(i, None) for i in range(4)} | {(None, j) for j in range(1, 151)} | {(None, None)}
+    assert got == want and concepts.closure(spark, df.limit(0)).count() == 0
