@@ -5,11 +5,13 @@ entry within a threshold; the triangle inequality prunes subtrees. The search
 runs over a whole batch of distinct values at once: at each tree node the
 distance of the node's entry to all values still alive there is computed by the
 bit-parallel recurrence of Myers (1999, Hyyro's form) in numpy. Larger reference
-lists are cut into shards, each searched with its own tree, and the winners merge.
+lists are cut into shards, each searched with its own tree; the rules that pick a
+winner are applied once, to the nearest entries of all shards.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
@@ -167,20 +169,16 @@ def _singular(text: str) -> list[str]:
     return [text[: -len(e)] for e in ("es", "s") if text.endswith(e) and len(text) > len(e) + 3]
 
 
-def match(values: list[str], tree: BKTree, names: dict[str, str]) -> list[tuple[str, int] | None]:
-    """The one entry each value denotes with its distance, or None.
+def candidates(values: list[str], tree: BKTree) -> list[tuple[dict[str, int], list[str]]]:
+    """For each value the tree's nearest entries with their distance, and the entries that go on where a cut-off value ends.
 
-    The nearest entry under the tree's metric wins. An entry that ties with
-    another at the same distance is not chosen unless an exact check tells them
-    apart: two swapped neighbours (one slip of the hand, two edits) or a cut-off
-    end (``Baeraltria...``). A value nearer to no entry than its tolerance denotes none.
+    Of the latter two are given at most: only a single one counts.
     """
-    texts, owner, rank = [], [], []
+    texts, owner = [], []
     for i, v in enumerate(values):
-        for k, t in enumerate(variants(v)):
+        for t in variants(v):
             texts.append(t)
             owner.append(i)
-            rank.append(k)
     best: dict[int, dict[str, int]] = {}
     for where, entry, d in tree.search(texts, np.array([tolerance(len(t)) for t in texts], dtype=np.int64)):
         for at, dist in zip(where, d):
@@ -189,32 +187,49 @@ def match(values: list[str], tree: BKTree, names: dict[str, str]) -> list[tuple[
     joined: dict[str, list[str]] = {}
     for e in tree.entries:
         joined.setdefault(e.replace(" ", ""), []).append(e)
-    out: list[tuple[str, int] | None] = []
+    out = []
     for i, v in enumerate(values):
         near = best.get(i, {})
-        reads = variants(v)
-        for t in reads:  # exact readings: same letters apart from spaces, a plural, a cut-off end
+        for t in variants(v):  # exact readings: same letters apart from spaces, a plural, a cut-off end
             for x in [t, *_singular(t)]:
                 for e in joined.get(x.replace(" ", ""), []):
                     near[e] = 0
+        longer: list[str] = []
         cut = re.fullmatch(r"(.*\S)\s*(?:…|\.{1,3})", v.strip())
         if cut and 0 not in near.values():
             stem = " ".join(_WORD.findall(fold(cut.group(1))))
-            longer = [e for e in tree.entries if len(stem) >= 5 and e.startswith(stem)]
-            if len(longer) == 1:
-                near[longer[0]] = 0
-        if not near:
-            out.append(None)
-            continue
-        least = min(near.values())
-        winners = [e for e, d in near.items() if d == least]
-        if len(winners) > 1:
-            swaps = [e for e in winners if any(_swapped(t, e) for t in reads)]
-            winners = swaps if len(swaps) == 1 else winners
-        out.append((names[winners[0]], least) if len(winners) == 1 else None)
+            longer = [e for e in tree.entries if len(stem) >= 5 and e.startswith(stem)][:2]
+        least = min(near.values(), default=0)
+        out.append(({e: d for e, d in near.items() if d == least}, longer))
     return out
 
 
+def decide(value: str, near: dict[str, int], longer: list[str], names: dict[str, str]) -> tuple[str, int] | None:
+    """The one entry a value denotes with its distance, or None, from the candidates of the whole list."""
+    if len(longer) == 1 and 0 not in near.values():
+        near = {longer[0]: 0}
+    if not near:
+        return None
+    least = min(near.values())
+    winners = [e for e, d in near.items() if d == least]
+    if len(winners) > 1:
+        reads = variants(value)
+        swaps = [e for e in winners if any(_swapped(t, e) for t in reads)]
+        winners = swaps if len(swaps) == 1 else winners
+    return (names[winners[0]], least) if len(winners) == 1 else None
+
+
+def match(values: list[str], tree: BKTree, names: dict[str, str]) -> list[tuple[str, int] | None]:
+    """The one entry each value denotes with its distance, or None.
+
+    The nearest entry under the tree's metric wins. An entry that ties with
+    another at the same distance is not chosen unless an exact check tells them
+    apart: two swapped neighbours (one slip of the hand, two edits) or a cut-off
+    end (``Baeraltria...``). A value nearer to no entry than its tolerance denotes none.
+    """
+    return [decide(v, near, longer, names) for v, (near, longer) in zip(values, candidates(values, tree))]
+
+
 def _swapped(a: str, b: str) -> bool:
     """True if two neighbouring characters of ``a`` swapped give ``b``."""
     if len(a) != len(b):
@@ -228,34 +243,30 @@ def canonical(rows: DataFrame, value: str, entries: DataFrame, entry: str, shard
 
     Each task looks up its own distinct values once, so nothing is shuffled and
     a hot value costs one search a task. At most ``shard_entries`` entries are
-    sent to the tasks at once; more are taken in shards one after the other and
-    the nearest entry over all shards stands (a tie between shards denotes none).
+    sent to the tasks at once; more are taken in shards one after the other, each
+    of which adds its candidates, and the rules of ``match`` are applied once to
+    those of all shards, so the outcome does not depend on their number.
     Null and blank values denote none. Existing columns ``_entry`` and ``_distance`` are replaced.
     """
     spark = rows.sparkSession
     names = entries.select(F.col(entry).alias("e")).where("e is not null").distinct()
     shards = max(1, -(-names.count() // shard_entries))
     kept = rows.drop("_entry", "_distance")
-    merged = None
-    for k in range(shards):
-        own = sorted(r.e for r in names.where(F.pmod(F.xxhash64("e"), F.lit(shards)) == k).collect())
-        part = _look_up(kept, value, own)
-        if merged is None:
-            merged = part
-        else:
-            merged = _look_up(merged.withColumnsRenamed({"_entry": "_entry0", "_distance": "_distance0"}), value, own)
-            nearer = F.col("_distance") < F.coalesce("_distance0", F.lit(99))
-            tied = F.col("_distance") == F.col("_distance0")
-            merged = merged.withColumn("_entry", F.when(nearer, F.col("_entry")).when(tied, None).otherwise(F.col("_entry0"))).withColumn("_distance", F.when(nearer, F.col("_distance")).otherwise(F.col("_distance0"))).drop("_entry0", "_distance0")
-    return merged
-
-
-def _look_up(rows: DataFrame, value: str, own: list[str]) -> DataFrame:
+    parts = (sorted(r.e for r in names.where(F.pmod(F.xxhash64("e"), F.lit(shards)) == k).collect()) for k in range(shards))
+    schema = T.StructType([*kept.schema.fields, T.StructField("_entry", T.StringType()), T.StructField("_distance", T.IntegerType())])
+    if shards == 1:
+        return kept.mapInArrow(_searcher(value, _folded(next(parts))), schema)
+    found = kept.withColumn("_entry", F.lit("").cast("string"))
+    for own in parts:
+        found = found.mapInArrow(_collector(value, _folded(own)), T.StructType(schema.fields[:-1]))
+    return found.mapInArrow(_decider(value), schema)
+
+
+def _folded(own: list[str]) -> dict[str, str]:
     names: dict[str, str] = {}
     for e in own:
         names.setdefault(" ".join(_WORD.findall(fold(e))), e)
-    schema = T.StructType([*rows.schema.fields, T.StructField("_entry", T.StringType()), T.StructField("_distance", T.IntegerType())])
-    return rows.mapInArrow(_searcher(value, names), schema)
+    return names
 
 
 def _searcher(value: str, names: dict[str, str]) -> Callable:
@@ -268,9 +279,54 @@ def _searcher(value: str, names: dict[str, str]) -> Callable:
                 seen.clear()
             new = [x for x in dict.fromkeys(texts) if x is not None and x not in seen]
             seen.update(zip(new, match(new, tree, names)))
-            got = [seen[x] if x is not None else None for x in texts]
-            found = [pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "_entry", "_distance"])
+            yield _with_entries(batch, [seen[x] if x is not None else None for x in texts])
+
+    return run
+
+
+def _with_entries(batch: pa.RecordBatch, got: list[tuple[str, int] | None]) -> pa.RecordBatch:
+    found = [pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "_entry", "_distance"])
+
+
+def _collector(value: str, names: dict[str, str]) -> Callable:
+    """Adds a shard's candidates to the last column, ``_entry``: one line of JSON for each shard that has any."""
+
+    def run(batches):
+        tree = BKTree(names)
+        seen: dict[str, str] = {}
+        for batch in batches:
+            texts = batch.column(value).to_pylist()
+            if len(seen) > 500_000:
+                seen.clear()
+            new = [x for x in dict.fromkeys(texts) if x is not None and x not in seen]
+            for x, (near, longer) in zip(new, candidates(new, tree)):
+                seen[x] = json.dumps([near, longer, {e: names[e] for e in [*near, *longer]}]) + "\n" if near or longer else ""
+            lines = [old + (seen[x] if x is not None else "") for old, x in zip(batch.column("_entry").to_pylist(), texts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lines, pa.string())], names=batch.schema.names)
+
+    return run
+
+
+def _decider(value: str) -> Callable:
+    """Applies the rules to the candidates of all shards that ``_entry`` holds."""
+
+    def one(text: str | None, lines: str) -> tuple[str, int] | None:
+        near: dict[str, int] = {}
+        longer: dict[str, None] = {}
+        names: dict[str, str] = {}
+        for line in lines.splitlines():
+            n, more, own = json.loads(line)
+            near.update(n)
+            longer.update(dict.fromkeys(more))
+            for e, name in own.items():  # entries alike when folded go by the first, as in one tree
+                names[e] = min(name, names.get(e, name))
+        return decide(text, near, list(longer), names) if names else None
+
+    def run(batches):
+        for batch in batches:
+            got = [one(x, lines) for x, lines in zip(batch.column(value).to_pylist(), batch.column("_entry").to_pylist())]
+            yield _with_entries(batch.drop_columns(["_entry"]), got)
 
     return run
 

@@ -155,6 +155,19 @@ def test_lookup_over_shards_and_odd_tables(spark):
     assert canonical.canonical(df.limit(0), "label", ref, "concept").count() == 0
 
 
+def test_shards_find_what_one_tree_finds(spark):
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abc") for _ in range(n))
+    entries = list(dict.fromkeys([word(r.randrange(4, 9)) for _ in range(30)] + ["netting canister", "netting canopy", "Netting-Canopy", "anchor lid"]))
+    values = [word(r.randrange(3, 9)) for _ in range(300)] + [e[:-2] + e[-1] + e[-2] for e in entries] + ["netting can…", "netting cani…", "netting-canopy", "anchro lid", None, ""]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, label string")
+    ref = spark.createDataFrame([(e,) for e in entries], "concept string")
+    whole = rows(canonical.canonical(df, "label", ref, "concept"))
+    assert len({x[2] for x in whole}) > 10
+    for size in (12, 5):
+        assert rows(canonical.canonical(df, "label", ref, "concept", shard_entries=size)) == whole
+
+
 # ---------------------------------------------------------------- 3 fusion
 
 PROGRESS = "rec_id long, uuid string, file_name string, width int, height int, dive string, concept string, cls string, boxes array<struct<concept:string,x:double,y:double,w:double,h:double>>, logged_at timestamp, value string"
