@@ -19,8 +19,9 @@ from sparkshoal.functions.text import file_stem, is_blank, strip_space
 from sparkshoal.session import remove_path, rename_path, scratch_path, settings, table
 from sparkshoal.sources.listing import listed
 
-#: Groups of exact copies up to this size are reported pair by pair, larger ones as pairs with their first file.
+#: Groups of exact copies up to this size are paired in one row, larger ones by a join, or on request with their first file only.
 PAIRED = 64
+SPREAD = 32  # parts the pairs of a large group are spread over
 
 
 @dataclass
@@ -92,11 +93,12 @@ def packed_labels(spark: SparkSession, files: Callable[[], DataFrame], path: str
     return spark.read.parquet(path)
 
 
-def copies(packed: DataFrame) -> DataFrame:
+def copies(packed: DataFrame, every: bool = False) -> DataFrame:
     """Pairs (lo_file_id, hi_file_id) of files of one image with the same lines.
 
-    Up to ``PAIRED`` copies every pair is given; the copies of a larger group are
-    each paired with its first file, which together with the group loses no link.
+    Up to ``PAIRED`` copies every pair is given. Of a larger group too if
+    ``every``; else its copies are each paired with its first file, which
+    together with the group loses no link.
     """
     files = packed.where("file_id is not null and image is not null").select("image", "digest", "file_id")
     groups = files.groupBy("image", "digest").agg(F.count_distinct("file_id").alias("n"), F.min("file_id").alias("lo"))
@@ -104,8 +106,13 @@ def copies(packed: DataFrame) -> DataFrame:
     members = files.join(several, ["image", "digest"])
     small = members.where(F.col("n") <= PAIRED).groupBy("image", "digest").agg(F.array_sort(F.collect_set("file_id")).alias("ids"))
     pairs = F.flatten(F.transform("ids", lambda a: F.transform(F.filter("ids", lambda b: b > a), lambda b: F.struct(a.alias("lo_file_id"), b.alias("hi_file_id")))))
-    stars = members.where((F.col("n") > PAIRED) & (F.col("file_id") > F.col("lo"))).select(F.col("lo").alias("lo_file_id"), F.col("file_id").alias("hi_file_id")).distinct()
-    return small.select(F.explode(pairs).alias("p")).select("p.*").unionByName(stars)
+    small_pairs = small.select(F.explode(pairs).alias("p")).select("p.*")
+    large = members.where(F.col("n") > PAIRED).select("image", "digest", "file_id", "lo").distinct()
+    if not every:
+        return small_pairs.unionByName(large.where("file_id > lo").select(F.col("lo").alias("lo_file_id"), F.col("file_id").alias("hi_file_id")))
+    los = large.select("image", "digest", F.col("file_id").alias("lo_file_id"), F.pmod(F.xxhash64("file_id"), F.lit(SPREAD)).cast("int").alias("part"))
+    his = large.select("image", "digest", F.col("file_id").alias("hi_file_id"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
+    return small_pairs.unionByName(los.join(his, ["image", "digest", "part"]).where("lo_file_id < hi_file_id").select("lo_file_id", "hi_file_id"))
 
 
 def current_records(packed: DataFrame) -> DataFrame:
@@ -116,7 +123,7 @@ def current_records(packed: DataFrame) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "p6-packed")
-    return copies(packed_labels(spark, lambda: table(spark, sf_dir, "label_files"), path))
+    return copies(packed_labels(spark, lambda: table(spark, sf_dir, "label_files"), path), every=True)
 
 
 def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -300,6 +300,14 @@ def test_copies_of_label_files(spark, monkeypatch):
     assert lines == [(["a", "b"],), (["a", "b"],), ([],), ([],)]
 
 
+def test_every_pair_of_many_copies(spark, tmp_path):
+    data = [(i, f"a/{i}.txt", "one", "b\r\na" if i % 2 else "a\nb", 4) for i in range(66)] + [(5, "a/5.txt", "one", "a\nb", 4), (100, "c.txt", "two", "x", 1), (101, "c.txt", "two", "x", 1)]
+    df = spark.createDataFrame(data, "file_id long, file_path string, out_name string, body string, n_bytes long").withColumn("written_at", F.lit(None).cast("timestamp"))
+    df.write.parquet(f"{tmp_path}/label_files.parquet")
+    want = [(i, j) for i in range(66) for j in range(i + 1, 66)] + [(100, 101)]
+    assert sorted(rows(packing.p6_found(spark, str(tmp_path)))) == want
+
+
 # ---------------------------------------------------------------- readers
 
 
