@@ -223,6 +223,18 @@ def test_the_agreed_value_wins_over_copied_false_ones(spark):
     assert len(got) == 300 and right >= 270
 
 
+def test_rare_sources_keep_their_own_votes(spark):
+    from pyspark.sql import functions as F
+
+    # 120 sources agree on most groups; in the last, two of the rarest agree against one of the most frequent.
+    data = [(f"g{g}", 1000 * g + i, f"s{i:03d}", "v") for g in range(3) for i in range(120)]
+    data += [(f"h{k}", 10_000 + k * 1000 + i, f"s{i:03d}", "v") for k in range(2) for i in range(100)]
+    data += [("last", 90_000, "s000", "z"), ("last", 90_001, "s118", "a"), ("last", 90_002, "s119", "a")]
+    df = spark.createDataFrame(data, "g string, rec long, src string, val string")
+    got = {x.group: (x.value, x.posterior) for x in fusion.fuse(df, "g", "rec", "src", {"val": (F.col("val"), F.lit(1))}, rounds=1).collect()}
+    assert got["last"][0] == "a" and got["last"][1] > 0.9 and got["g0"] == ("v", pytest.approx(1.0))
+
+
 # ---------------------------------------------------------------- 4 frequency
 
 
