@@ -223,6 +223,19 @@ def test_the_agreed_value_wins_over_copied_false_ones(spark):
     assert len(got) == 300 and right >= 270
 
 
+def test_votes_choose_among_equally_preferred_lines(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(g, 10 * g + i, s, v) for g in range(8) for i, (s, v) in enumerate([("a", "odd" if g < 4 else "x"), ("b", "x"), ("c", "x")])]
+    df = spark.createDataFrame(rows, "g long, rec long, src string, val string")
+    run = lambda: {x.group: x for x in fusion.fuse_wide(df, "g", "rec", "src", {"val": (F.col("val"), F.lit(1))}).select("*", fusion.checked("val").alias("settled")).collect()}
+    got = run()
+    assert got[0].val_value == "x" and got[0].val_record == 1 and got[0].settled == 0  # the check, not the votes, asks for the smallest record
+    assert got[5].val_record == got[5].settled == 50
+    monkeypatch.setattr(fusion, "votes", lambda mask, accuracy, copies: 0.0)
+    assert run()[0].val_record == 0
+
+
 def test_rare_sources_keep_their_own_votes(spark):
     from pyspark.sql import functions as F
 
@@ -231,7 +244,7 @@ def test_rare_sources_keep_their_own_votes(spark):
     data += [(f"h{k}", 10_000 + k * 1000 + i, f"s{i:03d}", "v") for k in range(2) for i in range(100)]
     data += [("last", 90_000, "s000", "z"), ("last", 90_001, "s118", "a"), ("last", 90_002, "s119", "a")]
     df = spark.createDataFrame(data, "g string, rec long, src string, val string")
-    got = {x.group: (x.value, x.posterior) for x in fusion.fuse(df, "g", "rec", "src", {"val": (F.col("val"), F.lit(1))}, rounds=1).collect()}
+    got = {x.group: (x.value, x.posterior) for x in fusion.fuse(df, "g", "rec", "src", {"val": (F.col("val"), F.lit(1))}, rounds=0).collect()}
     assert got["last"][0] == "a" and got["last"][1] > 0.9 and got["g0"] == ("v", pytest.approx(1.0))
 
 
