@@ -6,8 +6,6 @@ the filters, NaN coordinates fail every validity rule.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,7 +98,3 @@ def label_line(cid: Column, b: Column) -> Column:
     """``class cx cy w h`` with six decimals."""
     return F.format_string("%d %.6f %.6f %.6f %.6f", cid, b["cx"], b["cy"], b["w"], b["h"])
 
-
-def rounded(boxes: Column, digits: int = 6) -> Column:
-    r: Callable[[Column], Column] = lambda c: F.round(c, digits)
-    return F.transform(boxes, lambda b: box(b["label"], r(b["cx"]), r(b["cy"]), r(b["w"]), r(b["h"])))

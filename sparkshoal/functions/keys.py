@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: How a dive stands in an address (fixed value).
+DIVE = r"/([A-Za-z]+/(?:D|T|V)?\d{3,5})/"
+
+
 def make_group(stem: Column, mode: str = "none", pattern: str | None = None, field: Column | None = None) -> Column:
     """Group of an image: its stem, the first capture of a pattern matched at the stem's start, or a field of its record; the stem wherever that is missing or blank."""
     if mode == "regex" and pattern:
@@ -31,7 +35,7 @@ def hamming(a: Column, b: Column) -> Column:
 
 def dive_of(url: Column, uuid: Column) -> Column:
     """The dive named in an image's address, else its uuid."""
-    return F.coalesce(F.nullif(F.regexp_extract(url, r"/([A-Za-z]+/[DTV]?\d{3,5})/", 1), F.lit("")), uuid)
+    return F.coalesce(F.nullif(F.regexp_extract(url, DIVE, 1), F.lit("")), uuid)
 
 
 def flat_name(path: Column) -> Column:
@@ -59,11 +63,6 @@ def number(token: Column) -> Column:
     return F.when(token.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), token.try_cast("double"))
 
 
-def path_order(path: Column) -> Column:
-    """Sort key that orders paths folder by folder."""
-    return F.split(path, "/")
-
-
 def dhash_of_gray(gray: Column, columns: int = 9) -> Column:
     """Difference hash of a gray matrix given row by row: one bit where a value is less than its right neighbour, first bit highest.
 

@@ -1,8 +1,9 @@
 """NumPy operations on pixels, for use inside Arrow batches.
 
-Difference hash, connected components, white balance and gamma follow their
-definitions. Decoders' own shrinking and CLAHE need a vision library and are
-left out, as is the enhancement network, whose weights are not public here.
+Difference hash, connected components, white balance, gamma and contrast-limited
+equalisation follow their definitions. Decoders' own shrinking needs a vision
+library and is left out, as is the enhancement network, whose weights are not
+public here.
 """
 
 from __future__ import annotations
@@ -114,3 +115,74 @@ def gamma(image: np.ndarray, value: float = 0.7) -> np.ndarray:
     """Gamma correction by a look-up table, exponent 1 / value, cut to whole numbers."""
     table = (((np.arange(256) / 255.0) ** (1 / value)) * 255).astype(np.uint8)
     return table[image]
+
+
+def clahe(gray: np.ndarray, clip: float = 2.0, tiles: int = 8) -> np.ndarray:
+    """Contrast-limited adaptive histogram equalisation of a gray image.
+
+    The image, mirrored at its right and lower edge to a multiple of ``tiles``, is
+    cut into tiles by tiles. A tile's histogram is cut at ``clip`` times its mean
+    height, what is cut off spread evenly over all levels, and its running sum
+    maps levels; a pixel takes the bilinear mean of the maps of the four nearest
+    tile centres.
+    """
+    height, width = gray.shape
+    padded = np.pad(gray, ((0, -height % tiles), (0, -width % tiles)), mode="reflect" if min(gray.shape) > tiles else "edge")
+    th, tw = padded.shape[0] // tiles, padded.shape[1] // tiles
+    blocks = padded.reshape(tiles, th, tiles, tw).transpose(0, 2, 1, 3).reshape(tiles * tiles, th * tw)
+    counts = np.stack([np.bincount(b, minlength=256) for b in blocks])
+    limit = max(int(clip * th * tw / 256), 1)
+    over = np.maximum(counts - limit, 0).sum(axis=1)
+    counts = np.minimum(counts, limit) + (over // 256)[:, None]
+    for row, rest in zip(counts, over % 256):  # what doesn't divide evenly goes to levels at even steps
+        if rest:
+            row[np.arange(0, 256, max(256 // rest, 1))[:rest]] += 1
+    maps = np.clip(np.rint(np.cumsum(counts, axis=1) * (255.0 / (th * tw))), 0, 255).reshape(tiles, tiles, 256)
+
+    def between(n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = (np.arange(n) / size) - 0.5
+        low = np.floor(at).astype(int)
+        return np.clip(low, 0, tiles - 1), np.clip(low + 1, 0, tiles - 1), at - low
+
+    y0, y1, fy = between(height, th)
+    x0, x1, fx = between(width, tw)
+    fy, fx = fy[:, None], fx[None, :]
+    level = lambda ys, xs: maps[ys[:, None], xs[None, :], gray]
+    mixed = (level(y0, x0) * (1 - fx) + level(y0, x1) * fx) * (1 - fy) + (level(y1, x0) * (1 - fx) + level(y1, x1) * fx) * fy
+    return np.clip(np.rint(mixed), 0, 255).astype(np.uint8)
+
+
+def resize(image: np.ndarray, width: int, height: int) -> np.ndarray:
+    """An image brought to a size: by area means when its width shrinks, else bilinear (see ``interpolation``)."""
+    planes = image[..., None] if image.ndim == 2 else image
+    if interpolation(image.shape[1], width) == "area":
+        out = np.stack([shrink(planes[..., c], width, height) for c in range(planes.shape[2])], axis=-1)
+    else:
+        def places(src: int, dst: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            at = np.clip((np.arange(dst) + 0.5) * src / dst - 0.5, 0, src - 1)
+            low = np.floor(at).astype(int)
+            return low, np.minimum(low + 1, src - 1), at - low
+
+        y0, y1, fy = places(image.shape[0], height)
+        x0, x1, fx = places(image.shape[1], width)
+        fy, fx = fy[:, None, None], fx[None, :, None]
+        p = planes.astype(float)
+        out = (p[y0][:, x0] * (1 - fx) + p[y0][:, x1] * fx) * (1 - fy) + (p[y1][:, x0] * (1 - fx) + p[y1][:, x1] * fx) * fy
+    out = np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    return out[..., 0] if image.ndim == 2 else out
+
+
+def fitted(image: np.ndarray, out_w: int, out_h: int, mode: str = "crop", grey: int = 114) -> np.ndarray:
+    """An image in the target geometry: the centred window of its aspect ratio, or scaled to fit and padded with ``grey``."""
+    h, w = image.shape[:2]
+    if mode == "pad":
+        scale = min(out_w / w, out_h / h)
+        small = resize(image, max(1, round(w * scale)), max(1, round(h * scale)))
+        out = np.full((out_h, out_w, *image.shape[2:]), grey, dtype=np.uint8)
+        top, left = (out_h - small.shape[0]) // 2, (out_w - small.shape[1]) // 2
+        out[top : top + small.shape[0], left : left + small.shape[1]] = small
+        return out
+    ratio = out_w / out_h
+    cw, ch = (round(h * ratio), h) if w / h > ratio else (w, round(w / ratio))
+    left, top = (w - cw) // 2, (h - ch) // 2
+    return resize(image[top : top + ch, left : left + cw], out_w, out_h)

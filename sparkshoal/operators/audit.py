@@ -23,12 +23,13 @@ def name_collisions(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def exact_duplicates(files: DataFrame, size: str, content: str) -> DataFrame:
-    """Groups of files with the same size and MD5: size, md5, files, redundant (files less one).
+    """Groups of files with the same size, not zero, and MD5: size, md5, files, redundant (files less one).
 
     Contents are hashed only where sizes meet: the sizes that occur twice are
     found first without reading contents, then decide what is hashed. The
     content itself never crosses a shuffle.
     """
+    files = files.where(F.col(size) > 0)
     sizes = files.groupBy(F.col(size).alias("_size")).agg(F.count("*").alias("_n")).where("_n > 1").select("_size")
     hashed = files.select(F.col(size).alias("_size"), F.md5(content).alias("md5")).join(sizes, "_size", "left_semi")
     groups = hashed.groupBy(F.col("_size").alias("size"), "md5").agg(F.count("*").alias("files")).where("files > 1")

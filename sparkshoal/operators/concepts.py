@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,41 @@ def tally(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy(kind.alias("outcome")).agg(F.sum("boxes").alias("boxes"), F.count("*").alias("concepts"))
 
 
+def cached_closure(spark: SparkSession, path: str, wanted: DataFrame, fetch: Callable[[str], list[str] | None]) -> DataFrame:
+    """Descendants (taxon, descendant) of every wanted taxon, fetched once and kept in a table at ``path``.
+
+    Only taxa the table doesn't have are fetched, by tasks (``fetch`` gives a
+    taxon's descendants, or None if it can't be had now, which is tried again
+    next time). What a run fetched is appended as a whole, so a run that is
+    stopped repeats nothing that an earlier one ended. A taxon without
+    descendants is kept as a row with a null descendant, which isn't returned.
+    """
+    schema = "taxon string, descendant string"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    had = spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for taxon in batch["taxon"]:
+                got = fetch(taxon)
+                if got is not None:
+                    rows += [(taxon, d) for d in got or [None]]
+            yield pd.DataFrame(rows, columns=["taxon", "descendant"])
+
+    todo = wanted.select(F.col("concept").alias("taxon")).where("taxon is not null").distinct().join(had.select("taxon").distinct(), "taxon", "left_anti")
+    checkpointed(spark, todo.mapInPandas(run, schema)).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path).where("descendant is not null").distinct()
+
+
+def with_files(records: DataFrame, files: DataFrame, name: str = "file_name") -> DataFrame:
+    """Records whose file is among ``files`` (column ``name``); a compile leaves the others out."""
+    return records.join(files.select(name).distinct(), name, "left_semi")
+
+
 def compiled(records: DataFrame, concept_map: DataFrame | None, classes: DataFrame, least_complete: float = 0.0, order: str = "rec_id") -> DataFrame:
     """Records with their boxes resolved to classes, incomplete ones left out.
 

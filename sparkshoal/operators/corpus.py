@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkshoal.functions.keys import stable_bucket
+from sparkshoal.functions.keys import class_score, stable_bucket
 from sparkshoal.operators.labels import small
+from sparkshoal.operators.reduction import first_rows
+from sparkshoal.session import checkpointed
+
 
 def everything():
-    """A window over all rows; only for tables of one row a source or split."""
+    """A window over all rows; only for tables of one row a source, split or class."""
     return Window.partitionBy()
 
 
-
 def split_of(seed: int, dataset: Column, group: Column, train: int = 80, val: int = 10) -> Column:
     """Split of a group, a pure function of seed, dataset and group."""
     b = stable_bucket(F.concat_ws(":", F.lit(str(seed)), dataset, group), 100)
@@ -37,7 +39,8 @@ def class_report(labels: DataFrame, classes: DataFrame, splits: tuple[str, ...]
     counts = per_image.groupBy("cid").agg(F.sum("n").alias("boxes"), F.count("*").alias("images"), *[F.count_if(F.col("split") == s).alias(f"{s}_images") for s in splits])
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = small(classes).join(counts, "cid", "left")
-    return out.select("cid", "name", zero("boxes").alias("boxes"), zero("images").alias("images"), F.round(F.when(zero("images") > 0, F.col("boxes") / F.col("images")).otherwise(0.0), 6).alias("boxes_per_image"), *[zero(f"{s}_images").alias(f"{s}_images") for s in splits])
+    pct = F.round(100 * zero("boxes") / F.greatest(F.sum(zero("boxes")).over(everything()), F.lit(1)), 6)  # one row a class
+    return out.select("cid", "name", zero("boxes").alias("boxes"), zero("images").alias("images"), pct.alias("box_pct"), F.round(F.when(zero("images") > 0, F.col("boxes") / F.col("images")).otherwise(0.0), 6).alias("boxes_per_image"), *[zero(f"{s}_images").alias(f"{s}_images") for s in splits])
 
 
 def blind_classes(report: DataFrame) -> DataFrame:
@@ -72,10 +75,14 @@ def repeat_factors(train: DataFrame, threshold: float = 0.10) -> DataFrame:
     share f of the images weighs max(1, sqrt(threshold / f)); an image goes by its
     rarest class, rounded half to even.
     """
-    pairs = train.select("image", "cid").distinct()
-    n = pairs.select("image").distinct().count()
-    weight = pairs.groupBy("cid").agg(F.count("*").alias("c")).select("cid", F.greatest(F.lit(1.0), F.sqrt(F.lit(threshold) / (F.col("c") / F.lit(n)))).alias("w"))
-    return pairs.join(small(weight), "cid").groupBy("image").agg(F.greatest(F.lit(1), F.bround(F.max("w")).cast("int")).alias("factor"))
+    spark = train.sparkSession
+    # One shuffle of the labels: a row for each image with its classes; all that follows reads these rows, which lie by image.
+    per = checkpointed(spark, train.groupBy("image").agg(F.collect_set("cid").alias("cids")).where(F.size("cids") > 0))
+    # The null added to each image's classes counts the images in the same pass.
+    counts = per.select(F.explode(F.concat("cids", F.array(F.lit(None)))).alias("cid")).groupBy("cid").agg(F.count("*").alias("c"))
+    share = F.col("c") / F.max(F.when(F.col("cid").isNull(), F.col("c"))).over(everything())  # one row a class
+    weight = checkpointed(spark, counts.withColumn("share", share).where("cid is not null").select("cid", F.greatest(F.lit(1.0), F.sqrt(F.lit(threshold) / F.col("share"))).alias("w")))
+    return per.select("image", F.explode("cids").alias("cid")).join(small(weight), "cid").groupBy("image").agg(F.greatest(F.lit(1), F.bround(F.max("w")).cast("int")).alias("factor"))
 
 
 def repeated(images: DataFrame, factors: DataFrame) -> DataFrame:
@@ -101,10 +108,64 @@ def taxonomy_differences(corpus: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def sampled(items: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """A share of the rows, the same on every run: those whose key hashes below the fraction."""
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(key).cast("string")), F.lit(1_000_000)) / 1_000_000
-    return items.where(u < fraction)
+    """A share of the rows, the same on every run and in every engine: those whose key's bucket (of a million) lies below the fraction."""
+    return items.where(stable_bucket(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 1_000_000) < fraction * 1_000_000)
+
+
+def top(items: DataFrame, by: list[str], n: int) -> DataFrame:
+    return first_rows(items, by, n)
 
 
-def top(items: DataFrame, by: list[Column], n: int) -> DataFrame:
-    return items.orderBy(*by).limit(n)
+def with_source(labels: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Labels (image) with the ``dataset`` the manifest (out_name, dataset) has for their image, ``?`` where it has none."""
+    known = manifest.where("out_name is not null").groupBy(F.col("out_name").alias("image")).agg(F.max("dataset").alias("dataset"))
+    return labels.drop("dataset").join(known, "image", "left").withColumn("dataset", F.coalesce("dataset", F.lit("?")))
+
+
+def unify_report(items: DataFrame, labels: DataFrame, classes: DataFrame, dropped: DataFrame, limit: float = 0.25) -> DataFrame:
+    """The report of a build as rows: section, name, n, share, flag.
+
+    ``items``: dataset, split, n_labels; ``labels``: cid, one row a box;
+    ``dropped``: dataset, label, boxes (the top ones). Sections: images (total,
+    each split, negatives; share of all images), boxes (each class, also those
+    without any; share of all boxes), source (share of all images, flag if more
+    than ``limit``), dropped (``dataset:label``). One row a class, source or split.
+    """
+    share = lambda n, of: F.round(F.col(n) / F.greatest(of, F.lit(1)), 6)
+    per = items.groupBy("dataset", "split").agg(F.count("*").alias("n"), F.count_if(F.col("n_labels") == 0).alias("neg"))
+    per = checkpointed(items.sparkSession, per)  # one row a source and split
+    total = F.max("n_all").over(everything())
+    splits = spark_rows(items, [("train",), ("val",), ("test",)], "name string").join(per.groupBy(F.col("split").alias("name")).agg(F.sum("n").alias("n")), "name", "left")
+    parts = [
+        per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("total").alias("name"), "n"),
+        splits.select("name", F.coalesce("n", F.lit(0)).alias("n")),
+        per.agg(F.coalesce(F.sum("neg"), F.lit(0)).alias("n")).select(F.lit("negatives").alias("name"), "n"),
+    ]
+    images = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("n_all", F.when(F.col("name") == "total", F.col("n")))
+    images = images.select(F.lit("images").alias("section"), "name", "n", share("n", total).alias("share"), F.lit(False).alias("flag"))
+    counts = labels.groupBy("cid").agg(F.count("*").alias("n"))
+    boxes = small(classes).join(counts, "cid", "left").withColumn("n", F.coalesce("n", F.lit(0))).select(F.lit("boxes").alias("section"), "name", "n", share("n", F.sum("n").over(everything())).alias("share"), F.lit(False).alias("flag"))
+    sources = per.groupBy(F.col("dataset").alias("name")).agg(F.sum("n").alias("n"))
+    sources = sources.withColumn("share", F.col("n") / F.greatest(F.sum("n").over(everything()), F.lit(1))).select(F.lit("source").alias("section"), "name", "n", F.round("share", 6).alias("share"), (F.col("share") > limit).alias("flag"))
+    drops = dropped.select(F.lit("dropped").alias("section"), F.concat_ws(":", "dataset", F.coalesce("label", F.lit("None"))).alias("name"), F.col("boxes").alias("n"), F.lit(None).cast("double").alias("share"), F.lit(False).alias("flag"))
+    return images.unionByName(boxes).unionByName(sources).unionByName(drops)
+
+
+def spark_rows(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return like.sparkSession.createDataFrame(rows, schema)
+
+
+def report_text(report: DataFrame) -> str:
+    """The report of ``unify_report`` as lines of text, sections in order, sources and drops by count."""
+    sections = ["images", "boxes", "source", "dropped"]
+    rows = sorted(report.collect(), key=lambda r: (sections.index(r.section), 0 if r.section in ("images", "boxes") else -r.n))  # one row a class, source or split, and the top drops
+    out: list[str] = []
+    for s in sections:
+        out += [f"{s}"] + [f"  {r.name:<30} {r.n:>9}" + (f"  {r.share:6.1%}" if r.share is not None else "") + ("  over the limit" if r.flag else "") for r in rows if r.section == s]
+    return "\n".join(out) + "\n"
+
+
+def domain_scores(scores: DataFrame) -> DataFrame:
+    """Scores by class side by side for each domain: cid, name, cells (``domain=score`` in order of domains). ``scores``: domain, cid, name, ap (null: no instances)."""
+    cell = F.struct("domain", F.concat(F.col("domain"), F.lit("="), class_score(F.col("ap"))).alias("text"))
+    return scores.groupBy("cid", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["text"]), "  ").alias("cells"))

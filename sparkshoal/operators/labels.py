@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from sparkshoal.functions.text import strip_space
 
 SMALL_ROWS = 200_000  # taxonomies and label tables up to this many rows are broadcast, larger ones are joined
+SMALL_BYTES = 1 << 20  # plans over no more bytes than this are small without a count
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it is proven small by a bounded count."""
+    """``df`` marked for broadcast if it is proven small: by the bytes its plan reads, or by a bounded count (which runs the plan up to there)."""
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES:
+        return F.broadcast(df)
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
@@ -55,6 +58,11 @@ def dropped_counts(mapped: DataFrame, dataset: str = "dataset", label: str = "la
     return mapped.where("dropped").groupBy(F.col(dataset).alias("dataset"), F.col(label).alias("label")).agg(F.count("*").alias("boxes"))
 
 
+def top_drops(mapped: DataFrame, dataset: str = "dataset", label: str = "label", n: int = 30) -> DataFrame:
+    """The ``n`` labels dropped most often, ties by dataset and label."""
+    return dropped_counts(mapped, dataset, label).orderBy(F.desc("boxes"), "dataset", "label").limit(n)
+
+
 def dead_targets(classes: DataFrame, table: DataFrame) -> DataFrame:
     """Entries of a label table whose class the taxonomy doesn't have."""
     return table.join(small(classes.select(F.col("name").alias("class")).distinct()), "class", "left_anti").select("dataset", "label", "class")

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkshoal.functions.text import file_stem, is_blank, strip_space
-from sparkshoal.session import remove_path, rename_path, scratch_path, settings, table
+from sparkshoal.session import put_in_place, remove_path, scratch_path, settings, table
 from sparkshoal.sources.listing import listed
 
 #: Groups of exact copies up to this size are paired in one row, larger ones by a join, or on request with their first file only.
 PAIRED = 64
+HOT = 1000  # groups with more than this part of all files are hot; there are at most as many
 SPREAD = 32  # parts the pairs of a large group are spread over
 
 
@@ -64,8 +65,7 @@ def pack(spark: SparkSession, read: Callable[[], DataFrame], path: str, check: l
     if before != after:
         remove_path(spark, staging)
         raise ValueError(f"staged output differs from its source: {before} and {after}")
-    remove_path(spark, path)
-    rename_path(spark, staging, path)
+    put_in_place(spark, staging, path)
     return Packed(path, wanted, after[0], splits)
 
 
@@ -115,6 +115,23 @@ def copies(packed: DataFrame, every: bool = False) -> DataFrame:
     return small_pairs.unionByName(los.join(his, ["image", "digest", "part"]).where("lo_file_id < hi_file_id").select("lo_file_id", "hi_file_id"))
 
 
+def copy_classes(packed: DataFrame) -> DataFrame:
+    """Each file with the class of its copies: file_id, image, class_id (the smallest file_id of its image with the same lines), links (how many other files are in it).
+
+    The form in which a group of copies of any size can be read whole: rows grow
+    with the files, not with the pairs. Files are counted by (image, lines) on
+    the map side, so a hot group is a few rows before it is joined. Null file_ids
+    and files without an image's name give nothing; a repeated file_id counts once.
+    """
+    files = packed.where("file_id is not null and image is not null").select("file_id", "image", "digest").distinct()
+    groups = files.groupBy("image", "digest").agg(F.min("file_id").alias("class_id"), (F.count("*") - 1).alias("links"))
+    # Copies are looked up by broadcast where one group holds a large part of all files (at most ``HOT`` such groups), by a join otherwise.
+    many = files.count() // HOT
+    hot = groups.where(F.col("links") >= max(many, PAIRED))
+    joined = files.join(F.broadcast(hot), ["image", "digest"]).unionByName(files.join(groups.where(F.col("links") < max(many, PAIRED)), ["image", "digest"]))
+    return joined.select("file_id", "image", "class_id", "links")
+
+
 def current_records(packed: DataFrame) -> DataFrame:
     """One record for each image: its last written file (ties and null times: the largest file_id), with its number of files."""
     newest = F.max(F.struct("written_at", "file_id", "body", "digest"))
@@ -132,6 +149,12 @@ def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("image", "file_id", "files", F.array_join(canonical_lines(F.col("body")), "\n").alias("lines"))
 
 
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label file with the class of its copies and its number of links."""
+    path = scratch_path(spark, "p6-packed")
+    return copy_classes(packed_labels(spark, lambda: table(spark, sf_dir, "label_files"), path))
+
+
 def p6_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the consolidation did: rows kept, images covered, files listed and files written are consistent."""
     path = scratch_path(spark, "p6-packed")

@@ -24,7 +24,7 @@ def spread_row_number(df: DataFrame, groups: list[str], order: list[str], name:
     stretch = placed.groupBy(*groups, "_part").agg(F.min("_mid").alias("_first"), F.count("*").alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = stretch.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_part").alias("_p"), "_first", before.alias("_before"))
-    same = F.col("_part") == F.col("_p")
+    same = F.col("_part") == F.col("_p")  # without groups the stretches are the partitions
     for i, g in enumerate(groups):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     return placed.join(starts, same).withColumn(name, F.col("_mid") - F.col("_first") + F.col("_before") + 1).drop("_mid", "_part", "_p", "_first", "_before", *[f"_g{i}" for i in range(len(groups))])

@@ -13,14 +13,27 @@ from sparkshoal.operators import labels, reduction
 from sparkshoal.operators.corpus import split_of
 from sparkshoal.session import checkpointed, table
 
-#: What each source asks for: keep every n-th frame, how alike frames may be, how many images at most.
+#: What each source asks for: keep every n-th frame, how alike frames may be, how many images at most, whether it is in use (it is if nothing is said). Sources not listed are taken as they are.
 REGISTRY = {"kelpline": {"stride": 2, "near": 6, "cap": 20_000}, "murkbay": {"stride": 2, "near": 6}, "quaycam": {"stride": 3, "near": 6}, "abyssnet": {"near": 4, "cap": 5_000}}
 OUT_W, OUT_H = 640, 480
 
 
+def selected(registry: dict[str, dict], names: list[str] | None = None) -> list[str]:
+    """Sources of a registry in use and, if ``names`` are given, among them; ValueError if none is left."""
+    out = [k for k, v in registry.items() if v.get("enabled", True) and (not names or k in names)]
+    if not out:
+        raise ValueError("no source selected")
+    return out
+
+
+def from_sources(items: DataFrame, registry: dict[str, dict], names: list[str] | None = None) -> DataFrame:
+    """Items of the registry's selected sources."""
+    return items.where(F.col("dataset").isin(selected(registry, names)))
+
+
 def samples(spark: SparkSession, d: str) -> DataFrame:
     """Images with their boxes nested: each sample_id and box_id once."""
-    s = table(spark, d, "samples").groupBy("sample_id").agg(F.min(F.struct("ingested_at", "dataset", "image_path", "group_key", "negative", "width", "height", "dhash")).alias("r")).select("sample_id", "r.*")
+    s = table(spark, d, "samples").where("sample_id is not null").groupBy("sample_id").agg(F.min(F.struct("ingested_at", "dataset", "image_path", "group_key", "negative", "width", "height", "dhash")).alias("r")).select("sample_id", "r.*")
     b = table(spark, d, "boxes").groupBy("box_id").agg(F.min(F.struct("sample_id", B.box(F.col("label"), F.col("cx"), F.col("cy"), F.col("w"), F.col("h")).alias("b"))).alias("r")).select("box_id", "r.*")
     nested = b.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("box_id", "b"))).alias("bs"))
     own = F.coalesce(B.valid(F.transform("bs", lambda x: x["b"])), F.array().cast(f"array<{B.BOX}>"))
@@ -50,11 +63,17 @@ def _wish(what: str) -> Column:
 
 
 def thinned(items: DataFrame) -> DataFrame:
-    """Each source thinned as the registry asks: stride, then near-duplicates, then the rarity cap; one plan for all sources."""
-    own = reduction.stride(items, ["dataset", "group"], ["name", "sample_id"], _wish("stride"))
-    own = checkpointed(items.sparkSession, reduction.near_duplicates(own, ["dataset", "group"], ["name", "sample_id"], "dhash", _wish("near")))
-    rare = reduction.rarity(own.select("dataset", "sample_id", F.explode("labels.cid").alias("cid")), "sample_id", "cid", ["dataset"])
-    return reduction.capped(own.join(rare, ["dataset", "sample_id"], "left"), ["dataset"], "group", ["name", "sample_id"], _wish("cap"), "sample_id").drop("rarity")
+    """Each source thinned as the registry asks: stride, then near-duplicates, then the rarity cap; one plan for all sources.
+
+    Only keys go through the sorts; the images join what is left of them at the end.
+    """
+    items = checkpointed(items.sparkSession, items)
+    own = reduction.stride(items.select("sample_id", "dataset", "group", "name", "dhash"), ["dataset", "group"], ["name", "sample_id"], _wish("stride"))
+    own = checkpointed(items.sparkSession, reduction.near_duplicates(own, ["dataset", "group"], ["name", "sample_id"], "dhash", _wish("near"))).drop("dhash")
+    labels_left = items.select("dataset", "sample_id", F.explode("labels.cid").alias("cid")).join(own.select("sample_id"), "sample_id", "left_semi")
+    rare = reduction.rarity(labels_left, "sample_id", "cid", ["dataset"])
+    kept = reduction.capped(own.join(rare, ["dataset", "sample_id"], "left"), ["dataset"], "group", ["name", "sample_id"], _wish("cap"), "sample_id")
+    return items.join(kept.select("sample_id"), "sample_id", "left_semi")
 
 
 def fitted(items: DataFrame) -> DataFrame:

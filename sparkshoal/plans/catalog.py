@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from sparkshoal.functions import boxes as B
 from sparkshoal.functions import keys as K
-from sparkshoal.functions import pixels
+from sparkshoal.functions import images, pixels
 from sparkshoal.functions.text import file_name, file_stem, is_blank, split_name
 from sparkshoal.operators import audit, concepts, corpus, labels, packing, reduction
 from sparkshoal.operators.labels import small
 from sparkshoal.operators.ranking import spread_row_number
 from sparkshoal.plans import build
 from sparkshoal.session import remove_path, scratch_path, table
-from sparkshoal.sources import listing, readers
+from sparkshoal.sources import listing, readers, tables
 from sparkshoal.streaming import progress as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +66,7 @@ FLAGS = [(0, "A"), (1, "N"), (2, "R"), (3, "none")]
 REPORT_SQL = f"""with im as ({ORDER_SPLIT}), l as (select l_orderkey image, case l_returnflag when 'A' then 0 when 'N' then 1 when 'R' then 2 end cid from lineitem),
 x as (select l.*, split from l join im using (image)), c as (select * from (values (0,'A'),(1,'N'),(2,'R'),(3,'none')) t(cid, name)),
 a as (select cid, count(*) boxes, count(distinct image) images, count(distinct case when split='train' then image end) train_images, count(distinct case when split='val' then image end) val_images, count(distinct case when split='test' then image end) test_images from x group by cid)
-select c.cid, c.name, coalesce(boxes,0) boxes, coalesce(images,0) images, round(coalesce(boxes/images,0.0),6) boxes_per_image, coalesce(train_images,0) train_images, coalesce(val_images,0) val_images, coalesce(test_images,0) test_images from c left join a using (cid)"""
+select c.cid, c.name, coalesce(boxes,0) boxes, coalesce(images,0) images, round(100 * coalesce(boxes,0) / greatest(sum(coalesce(boxes,0)) over (), 1), 6) box_pct, round(coalesce(boxes/images,0.0),6) boxes_per_image, coalesce(train_images,0) train_images, coalesce(val_images,0) val_images, coalesce(test_images,0) test_images from c left join a using (cid)"""
 
 
 def _report(spark: SparkSession, d: str) -> DataFrame:
@@ -141,7 +141,7 @@ def group_report(spark, d):
 
 
 @query(r"""select sample_id, case when dataset in ('kelpline','murkbay') then regexp_extract(stem, '^(?:([A-Za-z]+[-_][0-9]+).*)', 1) else stem end g, dataset || '_' || substr(sha1(image_path), 1, 10) out_name from (select *, regexp_replace(regexp_extract(image_path, '[^/]*$'), '(.)\.[^.]*$', '\1') stem from samples) where dataset not in ('kelpline','murkbay') or regexp_matches(stem, '^(?:([A-Za-z]+[-_][0-9]+).*)')
-union all select sample_id, stem, dataset || '_' || substr(sha1(image_path), 1, 10) from (select *, regexp_replace(regexp_extract(image_path, '[^/]*$'), '(.)\.[^.]*$', '\1') stem from samples) where dataset in ('kelpline','murkbay') and not regexp_matches(stem, '^(?:([A-Za-z]+[-_][0-9]+).*)')""".replace("sha1(image_path)", "sha1(image_path)"))
+union all select sample_id, stem, dataset || '_' || substr(sha1(image_path), 1, 10) from (select *, regexp_replace(regexp_extract(image_path, '[^/]*$'), '(.)\.[^.]*$', '\1') stem from samples) where dataset in ('kelpline','murkbay') and not regexp_matches(stem, '^(?:([A-Za-z]+[-_][0-9]+).*)')""")
 def image_keys(spark, d):
     stem = file_stem(F.col("image_path"))
     by_clip = F.col("dataset").isin("kelpline", "murkbay")
@@ -217,10 +217,10 @@ def rfs_list(spark, d):
 
 @query("select sample_id from samples where dataset = 'reefsnap' order by sample_id, image_path limit 50")
 def first_n(spark, d):
-    return corpus.top(table(spark, d, "samples").where("dataset = 'reefsnap'").select("sample_id", "image_path"), [F.col("sample_id"), F.col("image_path")], 50).select("sample_id")
+    return corpus.top(table(spark, d, "samples").where("dataset = 'reefsnap'").select("sample_id", "image_path"), ["sample_id", "image_path"], 50).select("sample_id")
 
 
-@query()
+@query("select o_orderkey from orders where ('0x' || substr(md5('0:' || o_orderkey), 1, 8))::bigint % 1000000 < 100000")
 def hash_sample(spark, d):
     return corpus.sampled(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.1)
 
@@ -260,10 +260,13 @@ def box_pad(spark, d):
     return _box_rows(spark, d, lambda b, w, h: B.fit(b, w, h, 640, 480, "pad"))
 
 
-@query(f"""{BOXES_SQL}, k as (select *, greatest(cx - w / 2, 0.0) x1, greatest(cy - h / 2, 0.0) y1, least(cx + w / 2, 1.0) x2, least(cy + h / 2, 1.0) y2 from v)
+@query(f"""with v as (select distinct box_id, label, cx, cy, w, h from boxes where {VALID}), k as (select *, greatest(cx - w / 2, 0.0) x1, greatest(cy - h / 2, 0.0) y1, least(cx + w / 2, 1.0) x2, least(cy + h / 2, 1.0) y2 from v)
 select box_id, {OUT4('(x1 + x2) / 2', '(y1 + y2) / 2', 'x2 - x1', 'y2 - y1')} from k where x2 - x1 >= 1e-3 and y2 - y1 >= 1e-3""")
 def box_clamp(spark, d):
-    return _box_rows(spark, d, lambda b, w, h: B.clamp(b))
+    """All boxes, whatever is known of their image's size."""
+    rows = table(spark, d, "boxes").select("box_id", B.box(F.col("label"), F.col("cx"), F.col("cy"), F.col("w"), F.col("h")).alias("b")).distinct()
+    out = rows.select("box_id", F.explode(B.clamp(B.valid(F.array("b")))).alias("b"))
+    return out.select("box_id", *[micro(F.col(f"b.{c}")).alias(c) for c in ("cx", "cy", "w", "h")])
 
 
 @query(f"select count(*) boxes, count(*) filter (where coalesce({VALID}, false)) valid from boxes")
@@ -294,20 +297,21 @@ def label_lines(spark, d):
     return found.groupBy("file_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", "b.cx", "b.cy", "b.w", "b.h", line.alias("line")))), lambda x: x["line"]), ";").alias("lines"))
 
 
-@query("""with o as (select * from orders where o_orderkey % 1 = 0), l as (select l_orderkey k, coalesce(count(*) filter (where l_quantity > 0), 0) n, sum(floor(((l_quantity + l_quantity + 20) / 2 / 200) * 1e6 + 0.5))::bigint cx from lineitem group by 1)
+@query("""with o as (select * from orders), l as (select l_orderkey k, coalesce(count(*) filter (where l_quantity > 0), 0) n, sum(floor(((l_quantity + l_quantity + 20) / 2 / 200) * 1e6 + 0.5))::bigint cx from lineitem group by 1)
 select 'o' || o_orderkey || '.jpg' image_path, coalesce(n, 0) boxes, coalesce(cx, 0)::bigint cx from o left join l on k = o_orderkey""")
 def voc_parse(spark, d):
     q = F.col("l_quantity").cast("string")
     obj = F.concat(F.lit("<object><name> "), F.col("l_returnflag"), F.lit(" </name><bndbox><xmin>"), q, F.lit("</xmin><ymin>10</ymin><xmax>"), (F.col("l_quantity") + 20).cast("string"), F.lit("</xmax><ymax>60</ymax></bndbox></object>"))
     per = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_join(F.collect_list(obj), "").alias("objects"))
-    xml = F.concat(F.lit("<annotation><filename>o"), F.col("o_orderkey").cast("string"), F.lit(".jpg</filename><size><width>200</width><height>100</height></size>"), F.coalesce("objects", F.lit("")), F.lit("</annotation>"))
+    nameless = F.lit("<object><name> </name><bndbox><xmin>1</xmin><ymin>10</ymin><xmax>30</xmax><ymax>60</ymax></bndbox></object><object><bndbox><xmin>1</xmin><ymin>10</ymin><xmax>30</xmax><ymax>60</ymax></bndbox></object>")
+    xml = F.concat(F.lit("<annotation><filename>o"), F.col("o_orderkey").cast("string"), F.lit(".jpg</filename><size><width>200</width><height>100</height></size>"), F.coalesce("objects", F.lit("")), nameless, F.lit("</annotation>"))
     docs = table(spark, d, "orders").join(per, F.col("o_orderkey") == F.col("k"), "left").select(F.from_xml(xml, readers.VOC, {"rowTag": "annotation"}).alias("x"), F.concat(F.lit("x/"), F.col("o_orderkey").cast("string"), F.lit(".xml")).alias("path")).select("path", "x.*")
     found = readers.voc_samples(docs, "orders")
     return found.select("image_path", F.size("boxes").cast("bigint").alias("boxes"), F.coalesce(F.aggregate("boxes", F.lit(0).cast("bigint"), lambda a, b: a + micro(b["cx"])), F.lit(0)).alias("cx"))
 
 
 @query("""with f as (select l_orderkey k, count(*) filter (where l_linenumber <> 7) n, sum(case when l_linenumber <> 7 then floor(((l_quantity + l_quantity + 20) / 2 / 200) * 1e6 + 0.5) end)::bigint cx from lineitem group by 1)
-select 'o' || o_orderkey || '.jpg' image_path, coalesce(n, 0) boxes, coalesce(cx, 0)::bigint cx, 'c' || o_custkey "group" from orders left join f on k = o_orderkey where o_orderkey >= 0""")
+select 'o' || o_orderkey || '.jpg' image_path, coalesce(n, 0) boxes, coalesce(cx, 0)::bigint cx, 'c' || o_custkey "group" from orders left join f on k = o_orderkey""")
 def coco_parse(spark, d):
     q = F.col("l_quantity")
     an = F.struct(F.col("l_orderkey").alias("image_id"), F.lit(1).cast("bigint").alias("category_id"), F.array(q, F.lit(10.0), F.lit(20.0), F.lit(50.0)).alias("bbox"), (F.col("l_linenumber") == 7).cast("int").alias("iscrowd"))
@@ -319,20 +323,24 @@ def coco_parse(spark, d):
     return found.select("image_path", F.size("boxes").cast("bigint").alias("boxes"), F.coalesce(F.aggregate("boxes", F.lit(0).cast("bigint"), lambda a, b: a + micro(b["cx"])), F.lit(0)).alias("cx"), "group")
 
 
-@query("""select user_id, k from (select user_id, (props::json->>'k')::int k, row_number() over (partition by user_id order by event_id) rn from events where json_valid(props)) where rn = 1""")
+@query("select uuid, file_name, width, height, concept, len(boxes)::int n_boxes from progress where uuid is not null and rec_id % 10 <> 0")
 def progress_log(spark, d):
-    rows = table(spark, d, "events").select("event_id", "user_id", F.from_json("props", "k int", {"mode": "PERMISSIVE"}).alias("p")).where("p is not null")
-    return rows.groupBy("user_id").agg(F.min(F.struct("event_id", "p.k")).alias("r")).select("user_id", "r.k")
+    """The log written as lines of text, every tenth cut off and followed by a blank one, and read again."""
+    folder = scratch_path(spark, "progress-log")
+    lines = table(spark, d, "progress").select(F.to_json(F.struct("uuid", "file_name", "width", "height", "dive", "concept", "cls", "boxes")).alias("line"), (F.col("rec_id") % 10 == 0).alias("cut"))
+    lines.select(F.when(F.col("cut"), F.concat(F.expr("substring(line, 1, length(line) - 2)"), F.lit("\n"))).otherwise(F.col("line"))).write.mode("overwrite").text(f"{folder}/log")
+    return tables.read_progress(spark, f"{folder}/log").select("uuid", "file_name", "width", "height", "concept", F.when(F.col("boxes").isNotNull(), F.size("boxes")).alias("n_boxes"))
 
 
-@query(r"""with m as (select distinct source_path, regexp_replace(regexp_extract(source_path,'[^/]*$'),'(.)\.[^.]*$','\1') stem, regexp_extract(source_path,'[^/]*$') name from manifest),
-f as (select distinct image_path path, regexp_extract(image_path,'[^/]*$') name, regexp_replace(regexp_extract(image_path,'[^/]*$'),'(.)\.[^.]*$','\1') stem, lower(regexp_extract(image_path,'(\.[^./]+)$',1)) ext from samples),
+@query(r"""with n as (select regexp_extract(source_path,'[^/]*$') name from manifest union select regexp_replace(regexp_extract(source_path,'[^/]*$'),'(.)\.[^.]*$','\1') || '.bmp' from manifest), m as (select name, regexp_replace(name,'(.)\.[^.]*$','\1') stem from n),
+f as (select distinct image_path path, regexp_replace(image_path, '^kelpline/frames/', '') rel, regexp_extract(image_path,'[^/]*$') file, regexp_replace(regexp_extract(image_path,'[^/]*$'),'(.)\.[^.]*$','\1') stem, lower(regexp_extract(image_path,'(\.[^./]+)$',1)) ext from samples),
 r as (select *, list_position(['.jpg','.jpeg','.png','.bmp','.tif','.tiff','.webp'], ext) rk from f)
-select name, first(path order by rk, path) filter (where rk > 0) image_path from (select distinct m.name, r.path, r.rk from m left join r on m.stem = r.stem) group by name""")
+select name, first(path order by tier, rk, path) filter (where tier is not null) image_path from (select distinct m.name, r.path, r.rk, case when rel = m.name then 0 when rel = file and rk > 0 then 1 when rk > 0 then 2 end tier from m left join r on m.stem = r.stem) group by name""")
 def image_lookup(spark, d):
     files = table(spark, d, "samples").select(F.col("image_path").alias("path")).distinct()
-    wanted = table(spark, d, "manifest").select(file_name(F.col("source_path")).alias("name")).distinct()
-    return listing.find_images(wanted, "name", files, "nowhere").select("name", "image_path")
+    name = file_name(F.col("source_path"))
+    wanted = table(spark, d, "manifest").select(F.explode(F.array(name, F.concat(file_stem(name), F.lit(".bmp")))).alias("name")).distinct()
+    return listing.find_images(wanted, "name", files, "kelpline/frames").select("name", "image_path")
 
 
 @query("""with f as (select *, count(*) over (partition by sample_id, frame) from (select sample_id video, 1 + box_id % 5 frame, case when label is null then 0 else 1 end cls, 1 + 100 * cx xmin, 1 + 100 * cy ymin, 100 * w w, 100 * h h, cx, cy from boxes) t(sample_id, frame, cls, xmin, ymin, w, h, cx, cy)),
@@ -413,9 +421,9 @@ def coco_compile(spark, d):
 # ---------------------------------------------------------------- audit
 
 
-@query("select n_bytes size, md5(body) md5, count(*) files, count(*) - 1 redundant from label_files where n_bytes is not null and body is not null group by all having count(*) > 1")
+@query("select n_bytes size, md5(body) md5, count(*) files, count(*) - 1 redundant from label_files where n_bytes > 0 and body is not null group by all having count(*) > 1")
 def exact_dups(spark, d):
-    return audit.exact_duplicates(table(spark, d, "label_files").where("n_bytes is not null and body is not null"), "n_bytes", "body")
+    return audit.exact_duplicates(table(spark, d, "label_files").where("body is not null"), "n_bytes", "body")
 
 
 @query("select regexp_extract(file_path, '[^/]*$') name, count(*) files from label_files group by 1 having count(*) > 1")
@@ -526,7 +534,13 @@ def flat_names(spark, d):
 # ---------------------------------------------------------------- pixels (rows only)
 
 
-@query()
+# Components of 8 by 8 masks by reachability: a cell's component is named by its first cell.
+CELLS_SQL = """with recursive c as (select vec_id v, i, i % 8 x, i // 8 y from (select vec_id, unnest(range(0, 64)) i, unnest(embedding) e from embeddings) where e > 0),
+r as (select v, i a, i b from c union select r.v, r.a, n.i from r join c m on m.v = r.v and m.i = r.b join c n on n.v = r.v and abs(n.x - m.x) <= 1 and abs(n.y - m.y) <= 1),
+k as (select v, a, min(b) root from r group by all), p as (select c.v, root, min(x) l, max(x) + 1 rt, min(y) t, max(y) + 1 bt, count(*) n from c join k on k.v = c.v and k.a = c.i group by all)"""
+
+
+@query(f"{CELLS_SQL} select v vec_id, 'thing' label, (l + rt) / 16.0::double cx, (t + bt) / 16.0::double cy, (rt - l) / 8.0::double w, (bt - t) / 8.0::double h from p where n / 64 between 0.05 and 0.6")
 def mask_components(spark, d):
     """Embeddings as 8 by 8 masks (positive or not): boxes of their components."""
 
@@ -548,12 +562,12 @@ def _codes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.concat(F.col("vec_id").cast("string"), F.lit("m.png")).alias("path"), F.lit(8).alias("height"), F.lit(8).alias("width"), data.alias("data"))
 
 
-@query()
+@query("select vec_id::varchar image_path, true negative from embeddings where len(list_filter(embedding, lambda x: least(floor(abs(x::double) * 20), 4) = 0)) / 64 <= 0.35")
 def negative_mine(spark, d):
     return readers.negative_samples(_codes(spark, d), "codes", [0], 0.35).select("image_path", "negative")
 
 
-@query()
+@query(f"{CELLS_SQL} select e.vec_id || '.png' image_path, count(n)::int boxes from embeddings e left join (select * from p where n / 64 between 0.05 and 0.6) q on q.v = e.vec_id group by 1")
 def palette_masks(spark, d):
     rgb = F.transform(F.sequence(F.lit(0), F.lit(191)), lambda i: F.when(F.get("embedding", F.floor(i / 3).cast("int")) > 0, 255).otherwise(0))
     data = F.unhex(F.array_join(F.transform(rgb, lambda c: F.lpad(F.hex(c), 2, "0")), ""))
@@ -615,21 +629,251 @@ def reader_stats(spark, d):
     return build.dispositions(spark, d)
 
 
-@query()
+_STRIP = lambda c: f"regexp_replace({c}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+_STEM = r"regexp_replace(regexp_extract(image_path, '[^/]*$'), '(.)\.[^.]*$', '\1')"
+_GROUP = f"regexp_replace(lower({_STRIP(f'case when coalesce({_STRIP("group_key")}, {chr(39) * 2}) = {chr(39) * 2} then {_STEM} else group_key end')}), '{_SPACE[:-1]}_\\-]+', '-', 'g')"
+_WISH = lambda what: "case dataset " + " ".join(f"when '{k}' then {v[what]}" for k, v in build.REGISTRY.items() if what in v) + " end"
+# The build stage by stage: first arrivals, boxes by class, stride, near-duplicates in a loop over each group, cap in turns of groups, crop, clamp.
+BUILD_SQL = rf"""with s0 as (select *, row_number() over (partition by sample_id order by ingested_at nulls first, dataset nulls first, image_path nulls first, group_key nulls first, negative nulls first, width nulls first, height nulls first, dhash nulls first) nth from samples where sample_id is not null),
+s as (select sample_id, dataset, image_path, regexp_extract(image_path, '[^/]*$') nm, {_GROUP} grp, negative, width, height, dhash from s0 where nth = 1),
+cl as (select unified_class nm, row_number() over (order by unified_class) - 1 cid from (select distinct unified_class from fathomnet_concept_map where coalesce(unified_class, '') <> '')),
+lk as (select lower(concept) k, unified_class c, 0 o, concept x from fathomnet_concept_map where coalesce(unified_class, '') <> '' union all select nm, nm, 1, nm from cl),
+kk as (select k, first(c order by o, x) c from lk group by k),
+b as (select distinct box_id, sample_id, label, cx, cy, w, h from boxes where {VALID}),
+bx as (select b.*, cid from b join kk on k = lower({_STRIP('label')}) join cl on cl.nm = kk.c),
+cnt as (select sample_id, count(*) kept from bx group by 1), anyb as (select sample_id, count(*) n from b group by 1),
+m as (select s.*, coalesce(kept, 0) kept, case when kept > 0 then 'kept' when n > 0 then 'dropped_all_labels' when negative then 'negative' else 'no_annotations' end disposition from s left join cnt using (sample_id) left join anyb using (sample_id)),
+u as (select *, row_number() over (partition by dataset, grp order by nm, sample_id) rn from m where disposition in ('kept', 'negative')),
+st as (select * from u where (rn - 1) % greatest(coalesce({_WISH('stride')}, 1), 1) = 0),
+nd as (select dataset, grp, list({{'s': sample_id, 'h': dhash}} order by nm, sample_id) l, any_value({_WISH('near')}) lim from st where {_WISH('near')} > 0 and dhash is not null group by all),
+kp as (select unnest(list_reduce(list_prepend([l[1]], list_transform(l[2:], lambda x: [x])), lambda acc, x: case when len(list_filter(acc, lambda a: bit_count(xor(a.h, x[1].h)) <= lim)) > 0 then acc else list_concat(acc, x) end)).s sample_id from nd union all select sample_id from st where coalesce({_WISH('near')}, 0) <= 0),
+th as (select st.* from st join kp using (sample_id)), lb as (select dataset, sample_id, cid, count(*) k from bx join th using (sample_id) group by all),
+fr as (select dataset, cid, sum(k) n from lb group by all), wt as (select dataset, cid, sum(n) over (partition by dataset) / n w from fr),
+ra as (select dataset, sample_id, round(list_reduce(list_prepend(0.0::double, list((k * w)::double order by cid)), lambda acc, x: acc + x), 9) rarity from lb join wt using (dataset, cid) group by all),
+ca as (select th.*, row_number() over (partition by th.dataset, grp order by coalesce(rarity, 0) desc, nm, sample_id) g_rn, min(sample_id) over (partition by th.dataset, grp) head from th left join ra using (sample_id)),
+cp as (select *, row_number() over (partition by dataset order by g_rn, head, grp) turn from ca),
+fi as (select * from cp where turn <= coalesce(nullif({_WISH('cap')}, 0), 2147483647)),
+ge as (select fi.sample_id, bx.cx, bx.cy, bx.w, bx.h, width, height, coalesce(width > 0 and height > 0, false) known, case when width / height > 640 / 480 then round_even(height * (640 / 480), 0)::bigint else width end cw, case when width / height > 640 / 480 then height else round_even(width / (640 / 480), 0)::bigint end ch from fi join bx using (sample_id)),
+p as (select *, (cx - w / 2) * width - floor((width - cw) / 2) x1, (cx + w / 2) * width - floor((width - cw) / 2) x2, (cy - h / 2) * height - floor((height - ch) / 2) y1, (cy + h / 2) * height - floor((height - ch) / 2) y2 from ge),
+q as (select *, greatest(x1, 0.0) a1, greatest(y1, 0.0) b1, least(x2, cw::double) a2, least(y2, ch::double) b2 from p),
+v as (select sample_id, case when known then (a1 + a2) / 2 / cw else cx end cx, case when known then (b1 + b2) / 2 / ch else cy end cy, case when known then (a2 - a1) / cw else w end w, case when known then (b2 - b1) / ch else h end h from q where not known or (a2 > a1 and b2 > b1 and (a2 - a1) * (b2 - b1) / greatest((x2 - x1) * (y2 - y1), 1e-9) >= 0.3)),
+n as (select sample_id, count(*) n_labels from v where least(cx + w / 2, 1.0) - greatest(cx - w / 2, 0.0) >= 1e-3 and least(cy + h / 2, 1.0) - greatest(cy - h / 2, 0.0) >= 1e-3 group by 1),
+o as (select *, {BUCKET.format("'42:' || dataset || ':' || grp")} b from fi left join n using (sample_id) where kept = 0 or n_labels > 0)
+select dataset, image_path, grp "group", {SPLIT} split, dataset || '_' || substr(sha1(image_path), 1, 10) out_name, coalesce(n_labels, 0)::int n_labels, disposition from o"""
+
+
+@query(BUILD_SQL)
 def corpus_build(spark, d):
     return build.corpus(spark, d).select("dataset", "image_path", "group", "split", "out_name", F.size("labels").alias("n_labels"), "disposition")
 
 
-@query()
+@query(f"with a as ({STATS_SQL}), z as (select dataset, count(*) built from ({BUILD_SQL}) group by 1) select a.*, coalesce(built, 0) built from a left join z using (dataset)")
 def corpus_funnel(spark, d):
     return build.funnel(spark, d)
 
 
-for name in ("p6_found", "p6_records", "p6_layout"):
+# ---------------------------------------------------------------- files on disk: 25 small images and what is said of them
+
+
+def _write_files(df: DataFrame) -> None:
+    """Rows (place, content: bytes) as files, written by tasks."""
+
+    def run(batches):
+        from pathlib import Path
+
+        import pandas as pd
+
+        for batch in batches:
+            for place, content in zip(batch["place"], batch["content"]):
+                Path(place).parent.mkdir(parents=True, exist_ok=True)
+                Path(place).write_bytes(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    df.select("place", "content").mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
+
+def _picture_files(spark: SparkSession, d: str, folder: str, kind: str) -> None:
+    """A PNG of 16 by 8 pixels for each nation: a picture (none where the key divides by 5), a colour mask, or codes."""
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for key, region in zip(batch["n_nationkey"], batch["n_regionkey"]):
+                grey = np.full((8, 16), 1, dtype=np.uint8)
+                grey.ravel()[: key % 4] = 0
+                mask = np.zeros((8, 16, 3), dtype=np.uint8)
+                mask[2:6, 1 : 3 + region] = (200, 30, 20)
+                if kind != "picture" or key % 5:
+                    image = grey if kind == "codes" else mask if kind == "mask" else np.repeat((grey * 100 + np.arange(16, dtype=np.uint8))[..., None], 3, axis=2)
+                    rows.append((f"{folder}/n{key}{'m' if kind == 'codes' else ''}.png", images.encode_png(image)))
+            yield pd.DataFrame(rows, columns=["place", "content"])
+
+    _write_files(table(spark, d, "nation").select("n_nationkey", "n_regionkey").mapInPandas(run, "place string, content binary"))
+
+
+def _local(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:")
+
+
+_SUPPLIED = "select 'n' || n_nationkey || '.png' name, count(s_suppkey) boxes from nation left join supplier on s_nationkey = n_nationkey where n_nationkey % 5 <> 0 group by 1"
+
+
+@query(_SUPPLIED)
+def coco_on_disk(spark, d):
+    """A COCO document whose names have another ending than the files, some without a file."""
+    folder = _local(scratch_path(spark, "coco"))
+    _picture_files(spark, d, f"{folder}/images", "picture")
+    nations = table(spark, d, "nation").select(F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".jpg")).alias("file_name"), F.lit(100.0).alias("width"), F.lit(100.0).alias("height")).alias("im")).agg(F.collect_list("im").alias("images"))  # 25 rows
+    notes = table(spark, d, "supplier").select(F.struct(F.col("s_nationkey").cast("bigint").alias("image_id"), F.lit(1).alias("category_id"), F.array(F.lit(10.0), F.lit(10.0), F.lit(20.0), F.lit(20.0)).alias("bbox")).alias("an"))
+    lines = [nations.select(F.to_json("images").alias("t")), notes.agg(F.to_json(F.collect_list("an")).alias("t"))]
+    doc = '{"images": ' + lines[0].first().t + ', "annotations": ' + lines[1].first().t + ', "categories": [{"id": 1, "name": "thing"}]}'
+    tables.write_atomically(f"{folder}/doc.json", doc)
+    return readers.read("coco", spark, f"{folder}/doc.json", f"{folder}/images", "nations").select(file_name(F.col("image_path")).alias("name"), F.size("boxes").cast("bigint").alias("boxes"))
+
+
+@query(_SUPPLIED)
+def voc_on_disk(spark, d):
+    """VOC files: odd ones name no file that there is, so their own stem finds the image; one is broken."""
+    folder = _local(scratch_path(spark, "voc"))
+    _picture_files(spark, d, f"{folder}/images", "picture")
+    per = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_join(F.collect_list(F.lit("<object><name>thing</name><bndbox><xmin>10</xmin><ymin>10</ymin><xmax>30</xmax><ymax>60</ymax></bndbox></object>")), "").alias("objects"))
+    key = F.col("n_nationkey").cast("string")
+    named = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("n"), key, F.lit(".jpg"))).otherwise(F.concat(F.lit("scan"), key))
+    xml = F.concat(F.lit("<annotation><filename>"), named, F.lit("</filename><size><width>100</width><height>100</height></size>"), F.coalesce("objects", F.lit("")), F.lit("</annotation>"))
+    files = table(spark, d, "nation").join(per, F.col("n_nationkey") == F.col("s_nationkey"), "left").select(F.concat(F.lit(f"{folder}/notes/n"), key, F.lit(".xml")).alias("place"), F.encode(xml, "UTF-8").alias("content"))
+    _write_files(files.unionByName(spark.createDataFrame([(f"{folder}/notes/broken.xml", bytearray(b"<annotation><filename>n1.png</filename><size>"))], "place string, content binary")))
+    return readers.read("voc", spark, f"{folder}/notes", f"{folder}/images", "nations").select(file_name(F.col("image_path")).alias("name"), F.size("boxes").cast("bigint").alias("boxes"))
+
+
+@query("select 'n' || n_nationkey || '.png' name, 'red' label, (4 + n_regionkey) / 32.0::double cx, 0.5::double cy, (2 + n_regionkey) / 16.0::double w, 0.5::double h from nation where n_nationkey % 5 <> 0")
+def masks_on_disk(spark, d):
+    folder = _local(scratch_path(spark, "masks"))
+    _picture_files(spark, d, f"{folder}/images", "picture")
+    _picture_files(spark, d, f"{folder}/masks", "mask")
+    found = readers.read("mask_rgb", spark, f"{folder}/masks", f"{folder}/images", "nations", palette={"255,0,0": "red", "0,0,255": "blue"})
+    return found.select(file_name(F.col("image_path")).alias("name"), F.explode("boxes").alias("b")).select("name", "b.*")
+
+
+@query("select 'n' || n_nationkey || '.png' name, true negative from nation where n_nationkey % 5 <> 0 and n_nationkey % 4 <= 1")
+def negatives_on_disk(spark, d):
+    """Codes with none to three of 128 pixels of obstacles; at most one in a hundred is allowed."""
+    folder = _local(scratch_path(spark, "codes"))
+    _picture_files(spark, d, f"{folder}/images", "picture")
+    _picture_files(spark, d, f"{folder}/codes", "codes")
+    return readers.read("mask_negative", spark, f"{folder}/codes", f"{folder}/images", "nations", obstacles=[0]).select(file_name(F.col("image_path")).alias("name"), "negative")
+
+
+@query("select count(*) filter (where n_nationkey % 5 <> 0 and n_regionkey % 2 = 0) copied, count(*) filter (where n_nationkey % 5 <> 0 and n_regionkey % 2 = 1) changed, count(*) filter (where n_nationkey % 5 = 0) failed from nation")
+def enhanced_copies(spark, d):
+    """Images of one domain enhanced, those of the other copied as they are, missing ones counted."""
+    folder = _local(scratch_path(spark, "enhanced"))
+    _picture_files(spark, d, f"{folder}/in", "picture")
+    name = F.concat(F.lit("/n"), F.col("n_nationkey").cast("string"), F.lit(".png"))
+    jobs = table(spark, d, "nation").select(F.concat(F.lit(f"{folder}/in"), name).alias("source"), F.concat(F.lit(f"{folder}/out"), name).alias("target"), (F.col("n_regionkey") % 2 == 1).alias("changed"))
+    return tables.copy_images(jobs, tables.enhanced)
+
+
+@query(f"select p.file_name image_path, resolved boxes from ({COMPLETE_SQL}) join progress p using (rec_id)")
+def coco_round_trip(spark, d):
+    """The compiled log written as COCO tables and read again: every image with its boxes."""
+    folder = scratch_path(spark, "coco-tables")
+    known = spark.createDataFrame(list(enumerate(CLASSES)), "cid int, name string")
+    sized = _compiled(spark, d).withColumns({"width": F.lit(1e7), "height": F.lit(1e7), "resolved": F.transform("resolved", lambda b: F.struct(b["cls"].alias("cls"), F.lit(1e5).alias("x"), F.lit(1e5).alias("y"), F.lit(1e6).alias("w"), F.lit(1e6).alias("h")))})
+    tables.coco_json(*concepts.coco_tables(sized, known), known, folder)
+    return readers.read("coco", spark, folder, None, "log", tables=True).select("image_path", F.size("boxes").cast("bigint").alias("boxes"))
+
+
+@query("select p.* from (select rec_id, file_name from progress) p semi join (select file_name from progress where coalesce(len(boxes), 0) > 0) f using (file_name)")
+def compiled_files(spark, d):
+    """Lines whose file is there (files here: those some line has boxes for)."""
+    files = table(spark, d, "progress").where("size(boxes) > 0").select("file_name")
+    return concepts.with_files(table(spark, d, "progress").select("rec_id", "file_name"), files).select("rec_id", "file_name")
+
+
+@query("select sample_id video, count(*) boxes from boxes where 1 + box_id % 6 in (2, 5) group by 1")
+def qualifying_videos(spark, d):
+    rows = table(spark, d, "boxes").select(F.col("sample_id").alias("video"), (1 + F.col("box_id") % 6).cast("int").alias("cls"))
+    return readers.qualifying_videos(rows, [2, 5])
+
+
+@query("select concept, rec_id from (select concept, rec_id, row_number() over (partition by concept order by rec_id) rn from progress where file_name is not null and file_name <> '' and file_name not like '%.png') where rn <= 15")
+def concept_index(spark, d):
+    results = table(spark, d, "progress").select("concept", "rec_id", F.when(~F.col("file_name").like("%.png"), F.col("file_name")).alias("url"))
+    return readers.concept_index(results, 15, ["rec_id"]).select("concept", "rec_id")
+
+
+@query("with e as (select r_regionkey, r_name taxon, n_name descendant from region left join nation on n_regionkey = r_regionkey where r_regionkey < 4) select taxon, descendant from e where descendant is not null")
+def cached_taxa(spark, d):
+    """Descendants fetched in two runs; the second asks only for what the first doesn't have."""
+    folder = scratch_path(spark, "taxa")
+    below = {r.r_name: r.n for r in table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).where("r_regionkey < 4").groupBy("r_name").agg(F.collect_list("n_name").alias("n")).collect()}  # five rows
+    wanted = table(spark, d, "region").select(F.col("r_name").alias("concept"), "r_regionkey")
+    concepts.cached_closure(spark, f"{folder}/cache", wanted.where("r_regionkey < 2"), below.get)
+    return concepts.cached_closure(spark, f"{folder}/cache", wanted, below.get)
+
+
+@query(f"select dataset, count(distinct sample_id) images from samples where dataset in ({', '.join(repr(k) for k in build.REGISTRY if k != 'quaycam')}) group by 1")
+def selected_sources(spark, d):
+    registry = {**build.REGISTRY, "quaycam": {**build.REGISTRY["quaycam"], "enabled": False}}
+    return build.from_sources(table(spark, d, "samples"), registry).groupBy("dataset").agg(F.countDistinct("sample_id").alias("images"))
+
+
+_DROPS = rf"""select b.dataset, label, count(*) boxes from boxes b left join (select lower(concept) k from fathomnet_concept_map where coalesce(unified_class, '') <> '' union select unified_class from fathomnet_concept_map where coalesce(unified_class, '') <> '') m on k = lower(regexp_replace(label, '^{_SPACE}+|{_SPACE}+$', '', 'g')) where k is null group by 1, 2 order by 3 desc, 1 nulls first, 2 nulls first limit 30"""
+
+
+def _top_drops(spark: SparkSession, d: str) -> DataFrame:
+    cm = table(spark, d, "fathomnet_concept_map").where("coalesce(unified_class, '') <> ''")
+    classes = cm.select(F.col("unified_class").alias("name")).distinct().withColumn("cid", F.lit(0))
+    entries = cm.select(F.lit("all").alias("dataset"), F.col("concept").alias("label"), F.col("unified_class").alias("class"), F.lit(0).alias("ord"))
+    rows = table(spark, d, "boxes").select(F.col("dataset").alias("origin"), F.lit("all").alias("dataset"), "label")
+    return labels.top_drops(labels.map_labels(rows, classes, entries).drop("dataset").withColumnRenamed("origin", "dataset"))
+
+
+@query(_DROPS)
+def top_dropped(spark, d):
+    return _top_drops(spark, d)
+
+
+@query(f"""with im as (select o_orderpriority dataset, image, split, coalesce(n, 0) n from ({ORDER_SPLIT}) join orders on o_orderkey = image left join (select l_orderkey image, count(*) n from lineitem group by 1) using (image)), t as (select count(*) n from im), l as (select case l_returnflag when 'A' then 'A' when 'N' then 'N' when 'R' then 'R' end nm from lineitem)
+select 'images' section, 'total' name, n, round(n / greatest(n, 1), 6) share, false flag from t union all select 'images', s, count(image), round(count(image) / greatest(any_value(t.n), 1), 6), false from t, (select unnest(['train', 'val', 'test']) s) x left join im on split = s group by s
+union all select 'images', 'negatives', count(*) filter (where im.n = 0), round(count(*) filter (where im.n = 0) / greatest(count(*), 1), 6), false from im
+union all select 'boxes', c, count(nm), round(count(nm) / (select count(*) from l where nm is not null), 6), false from (select unnest(['A', 'N', 'R', 'none']) c) y left join l on nm = c group by c
+union all select 'source', dataset, count(*), round(count(*) / any_value(t.n), 6), count(*) / any_value(t.n) > 0.25 from im, t group by dataset
+union all select 'dropped', coalesce(dataset || ':', '') || coalesce(label, 'None'), boxes, null, false from ({_DROPS})""")
+def unify_report(spark, d):
+    """The report of a build: images, boxes, sources, dropped labels."""
+    n = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("image")).agg(F.count("*").alias("k"))
+    prio = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), F.col("o_orderpriority").alias("dataset"))
+    items = order_images(spark, d).join(prio, "image").join(n, "image", "left").select("dataset", "split", F.coalesce("k", F.lit(0)).alias("n_labels"))
+    cid = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2)
+    return corpus.unify_report(items, table(spark, d, "lineitem").select(cid.alias("cid")), spark.createDataFrame(FLAGS, "cid int, name string"), _top_drops(spark, d))
+
+
+@query("with l as (select distinct coalesce(out_name, 'file' || file_id) image, unnest(regexp_extract_all(coalesce(body, ''), '(?m)^\\s*(\\d+)\\s', 1)) c from label_files), m as (select out_name, max(dataset) dataset from manifest where out_name is not null group by 1), n as (select c::int cid, coalesce(dataset, '?') source, count(distinct image) images from l left join m on out_name = image group by all) select cid, source, images, round(100 * images / sum(images) over (partition by cid), 6) pct from n")
+def label_sources(spark, d):
+    """Images of each class by source; label files the manifest doesn't list count under ``?``."""
+    cls = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(r"(?m)^\s*(\d+)\s"), F.lit(1))
+    rows = table(spark, d, "label_files").select(F.coalesce("out_name", F.concat(F.lit("file"), F.col("file_id").cast("string"))).alias("image"), F.explode(cls).alias("c")).select("image", F.col("c").cast("int").alias("cid"))
+    return corpus.source_by_class(corpus.with_source(rows, table(spark, d, "manifest")), "dataset")
+
+
+@query("select label cid, 'class ' || label name, string_agg(domain || '=' || case when ap is null then 'n/a (0 instances)' else printf('%.4f', ap) end, '  ' order by domain) cells from (select label, case when vec_id % 2 = 0 then 'surface' else 'submerged' end domain, avg(case when label % 3 > 0 then 0.5 + label / 16.0 end) ap from embeddings group by all) group by label")
+def domain_scores(spark, d):
+    domain = F.when(F.col("vec_id") % 2 == 0, "surface").otherwise("submerged")
+    ap = F.avg(F.when(F.col("label") % 3 > 0, 0.5 + F.col("label") / 16.0))
+    scores = table(spark, d, "embeddings").groupBy(domain.alias("domain"), F.col("label").alias("cid")).agg(ap.alias("ap")).withColumn("name", F.concat(F.lit("class "), F.col("cid").cast("string")))
+    return corpus.domain_scores(scores)
+
+
+for name in ("p6_found", "p6_classes", "p6_records", "p6_layout"):
     QUERIES[name] = getattr(packing, name)
 
 _FILES = rf"""with f as (select file_id, file_path, body, written_at, case when coalesce(regexp_replace(out_name, '{_SPACE}', '', 'g'), '') = '' then regexp_replace(regexp_extract(file_path, '[^/]*$'), '(.)\.[^.]*$', '\1') else out_name end image,
 list_sort(list_filter(list_transform(regexp_split_to_array(coalesce(body, ''), '\r\n|[\n\r\x0B\f\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g')), lambda x: x <> '')) lines from label_files)"""
 SQL["p6_found"] = _FILES + " select a.file_id lo_file_id, b.file_id hi_file_id from f a join f b on a.image = b.image and a.lines = b.lines and a.file_id < b.file_id"
+SQL["p6_classes"] = _FILES + ", g as (select distinct file_id, image, lines from f where file_id is not null and image is not null) select file_id, image, min(file_id) over (partition by image, lines) class_id, count(*) over (partition by image, lines) - 1 links from g"
 SQL["p6_records"] = _FILES + " select image, arg_max(file_id, (coalesce(epoch_us(written_at), -9000000000000000000), file_id)) file_id, count(*) files, array_to_string(arg_max(lines, (coalesce(epoch_us(written_at), -9000000000000000000), file_id)), chr(10)) lines from f group by image"
 SQL["p6_layout"] = _FILES + " select count(*) files_in, count(distinct file_id) file_ids, count(distinct image) images, sum(length(body))::bigint body_chars from f"

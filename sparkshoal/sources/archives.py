@@ -10,11 +10,12 @@ import urllib.request
 import zipfile
 from pathlib import Path
 
-JUNK = ("__MACOSX", ".DS_Store", "Thumbs.db")
+JUNK = ("__MACOSX", ".DS_Store", "Thumbs.db")  # litter of other systems (fixed values)
 
 
 def is_junk(name: str) -> bool:
-    return any(part in JUNK or part.startswith("._") for part in Path(name).parts)
+    """True if an entry's name holds any of ``JUNK``."""
+    return any(junk in name for junk in JUNK)
 
 
 def safe_target(base: str, name: str) -> Path:

@@ -12,21 +12,31 @@ from pyspark.sql import functions as F
 
 from sparkshoal.functions.text import file_name, file_stem
 
-IMAGE_TYPES = [".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp"]  # in order of preference
+IMAGE_TYPES = [".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp"]  # in order of preference (fixed values)
 
 
 def listed(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Files under a folder, empty ones too: path, length, modified; contents are not read.
 
-    The driver lists the top level only, tasks walk what lies below. (Spark's own
-    file sources leave empty files out.)
+    One task lists the top level, many walk what lies below; the driver lists
+    nothing. (Spark's own file sources leave empty files out.)
     """
     from pyarrow import fs as pfs
 
     uri = folder if "://" in folder else Path(folder.removeprefix("file:")).resolve().as_uri()
-    system, root = pfs.FileSystem.from_uri(uri)
+    _, root = pfs.FileSystem.from_uri(uri)
     lead = uri[: len(uri) - len(root.lstrip("/"))].rstrip("/") + "/" if not uri.startswith("file:") else "file:///"
-    top = [(x.path, x.type == pfs.FileType.Directory) for x in system.get_file_info(pfs.FileSelector(root))]
+
+    def level(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        own, _ = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch["path"]:
+                top = own.get_file_info(fs.FileSelector(path))
+                for at in range(0, len(top), 50_000):
+                    yield pd.DataFrame([(x.path, x.type == fs.FileType.Directory, x.size or 0, x.mtime_ns // 1000 if x.mtime_ns else 0) for x in top[at : at + 50_000]], columns=["path", "is_folder", "length", "micros"])
 
     def walk(batches):
         import pandas as pd
@@ -35,29 +45,28 @@ def listed(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
         own, _ = fs.FileSystem.from_uri(uri)
         for batch in batches:
             rows = []
-            for path, is_folder in zip(batch["path"], batch["is_folder"]):
-                found = own.get_file_info(fs.FileSelector(path, recursive=True)) if is_folder else [own.get_file_info(path)]
-                rows += [(lead + x.path.lstrip("/"), x.size, x.mtime_ns // 1000) for x in found if x.type == fs.FileType.File and fnmatch.fnmatchcase(x.base_name, glob)]
+            for path, is_folder, length, micros in zip(batch["path"], batch["is_folder"], batch["length"], batch["micros"]):
+                found = [(x.path, x.size, x.mtime_ns // 1000) for x in own.get_file_info(fs.FileSelector(path, recursive=True)) if x.type == fs.FileType.File] if is_folder else [(path, length, micros)]
+                rows += [(lead + p.lstrip("/"), n, t) for p, n, t in found if fnmatch.fnmatchcase(p.rsplit("/", 1)[-1], glob)]
             yield pd.DataFrame(rows, columns=["path", "length", "micros"])
 
-    tops = spark.createDataFrame(top, "path string, is_folder boolean")
-    if len(top) > 1:
-        tops = tops.repartition(min(len(top), 2000), "path")
+    tops = spark.createDataFrame([(root,)], "path string").mapInPandas(level, "path string, is_folder boolean, length long, micros long").repartition("path")
     return tops.mapInPandas(walk, "path string, length long, micros long").select("path", "length", F.timestamp_micros("micros").alias("modified"))
 
 
 def find_images(wanted: DataFrame, name: str, listing: DataFrame, folder: str) -> DataFrame:
-    """``wanted`` with ``image_path``: the file of that name in ``folder``, else one of the same stem there with an image's extension, else one anywhere below.
+    """``wanted`` with ``image_path``: the file of that name (or relative path) in ``folder``, else one of the same stem there with an image's extension, else one anywhere below.
 
     Ties go by extension in the order of ``IMAGE_TYPES``, then by path. Null if there is none.
     """
     base = folder.rstrip("/")
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     rank = F.array_position(F.array(*[F.lit(x) for x in IMAGE_TYPES]), ext)
-    files = listing.select("path", file_name(F.col("path")).alias("_file"), file_stem(F.col("path")).alias("_stem"), rank.alias("_rank"), (F.substring_index("path", "/", -1) == F.regexp_replace("path", r"^(file:)?/*" + "(?:" + re.escape(base.replace("file:", "").lstrip("/")) + r")/", "")).alias("_direct"))
+    files = listing.select("path", file_name(F.col("path")).alias("_file"), file_stem(F.col("path")).alias("_stem"), rank.alias("_rank"), F.regexp_replace("path", r"^(file:)?/*" + "(?:" + re.escape(base.replace("file:", "").lstrip("/")) + r")/", "").alias("_rel"))
+    files = files.withColumn("_direct", F.col("_rel") == F.col("_file"))
     w = wanted.withColumn("_want_stem", file_stem(F.col(name)))
     hits = w.join(files, F.col("_want_stem") == F.col("_stem"))
-    literal = F.col("_direct") & (F.col("_file") == F.col(name))
+    literal = F.col("_rel") == F.col(name)
     tier = F.when(literal, 0).when(F.col("_direct") & (F.col("_rank") > 0), 1).when(F.col("_rank") > 0, 2)
     best = hits.withColumn("_tier", tier).where("_tier is not null").groupBy(F.col(name).alias("_name")).agg(F.min(F.struct("_tier", "_rank", "path")).alias("_best"))
     out = w.join(best, F.col(name) == F.col("_name"), "left").withColumn("image_path", F.col("_best.path"))

@@ -29,6 +29,19 @@ def append(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return lines.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
 
 
+def run_until(query: StreamingQuery, stop: Callable[[], bool], poll: float = 1.0) -> bool:
+    """Waits for a query to end; once ``stop()`` says so it is stopped. True if it was.
+
+    A batch cut short is done again whole at the next start with the same
+    checkpoint, which goes on after the last one that ended.
+    """
+    while not query.awaitTermination(poll):
+        if stop():
+            query.stop()
+            return True
+    return False
+
+
 def recompute(lines: DataFrame, log: str, compile_: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
     """Appends each batch to the log table, then writes ``compile_`` of the whole log anew."""
 

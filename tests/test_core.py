@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkshoal.functions import boxes as B
 from sparkshoal.functions import keys as K
-from sparkshoal.functions import pixels
+from sparkshoal.functions import images, pixels
 from sparkshoal.functions.text import file_stem, group_of, is_blank, split_name
 from sparkshoal.operators import audit, concepts, corpus, labels, packing, ranking, reduction
 from sparkshoal.sources import archives, listing, readers, tables
@@ -155,6 +155,8 @@ def test_near_duplicates_equal_a_loop(spark, seed):
             kept[g].append((h, i))
     got = reduction.near_duplicates(df, ["g"], ["name", "seq"], "h", 4)
     assert sorted(x.seq for x in got.collect()) == sorted(i for v in kept.values() for _, i in v)
+    blocks = reduction.near_duplicates(df, ["g"], ["name", "seq"], "h", 4, block=[8, 20, 60][seed])  # groups too large for a task
+    assert sorted(x.seq for x in blocks.collect()) == sorted(x.seq for x in got.collect()) and blocks.columns == df.columns
     assert got.columns == df.columns and reduction.near_duplicates(df, ["g"], ["name"], "h", 0).count() == 300
     assert reduction.near_duplicates(df.limit(0), ["g"], ["name"], "h", 4).count() == 0
 
@@ -220,7 +222,7 @@ def test_reports(spark):
     lab = spark.createDataFrame([("i1", "train", 0), ("i1", "train", 0), ("i2", "val", 0), ("i3", "test", 1)], "image string, split string, cid int")
     classes = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "cid int, name string")
     report = corpus.class_report(lab, classes)
-    assert rows(report) == [(0, "a", 3, 2, 1.5, 1, 1, 0), (1, "b", 1, 1, 1.0, 0, 0, 1), (2, "c", 0, 0, 0.0, 0, 0, 0)]
+    assert rows(report) == [(0, "a", 3, 2, 75.0, 1.5, 1, 1, 0), (1, "b", 1, 1, 25.0, 1.0, 0, 0, 1), (2, "c", 0, 0, 0.0, 0.0, 0, 0, 0)]
     assert {(r.name, r.problem) for r in corpus.blind_classes(report).collect()} == {("a", "blind"), ("b", "blind"), ("c", "empty")}
     shares = corpus.source_shares(spark.createDataFrame([("x",)] * 3 + [("y",)], "s string"), "s")
     assert rows(shares) == [("x", 3, 0.75, True), ("y", 1, 0.25, False)]
@@ -263,7 +265,7 @@ def test_completeness_and_compiled_ids(spark):
 
 
 def test_duplicates_and_collisions(spark):
-    df = spark.createDataFrame([("a/x.txt", 3, "abc"), ("b/x.txt", 3, "abc"), ("c/y.txt", 3, "abd"), ("d/z.txt", 4, "abcd")], "path string, size int, body string")
+    df = spark.createDataFrame([("a/x.txt", 3, "abc"), ("b/x.txt", 3, "abc"), ("c/y.txt", 3, "abd"), ("d/z.txt", 4, "abcd"), ("e/u.txt", 0, ""), ("e/v.txt", 0, ""), ("e/w.txt", None, "abc")], "path string, size int, body string")
     assert [(r.size, r.files, r.redundant) for r in audit.exact_duplicates(df, "size", "body").collect()] == [(3, 2, 1)]
     assert rows(audit.name_collisions(df)) == [("x.txt", 2)]
 
@@ -296,6 +298,8 @@ def test_copies_of_label_files(spark, monkeypatch):
     monkeypatch.setattr(packing, "PAIRED", 2)
     assert rows(packing.copies(df)) == [(1, 3), (1, 5)]
     assert packing.copies(df.limit(0)).count() == 0
+    assert rows(packing.copy_classes(df)) == [(1, "a", 1, 2), (2, "b", 2, 0), (3, "a", 1, 2), (5, "a", 1, 2), (9, "a", 9, 0)]
+    assert packing.copy_classes(df.limit(0)).count() == 0
     lines = values(spark, [(" b \r\na\n\n",), ("a\rb",), ("",), (None,)], "t string", packing.canonical_lines(F.col("t")))
     assert lines == [(["a", "b"],), (["a", "b"],), ([],), ([],)]
 
@@ -322,7 +326,7 @@ def test_coco_and_voc(spark, tmp_path):
     import json
 
     (tmp_path / "c.json").write_text(json.dumps(doc, indent=1))
-    got = {r.image_path: r for r in readers.read("coco", spark, f"{tmp_path}/c.json", "d", mode="field").collect()}
+    got = {r.image_path: r for r in readers.read("coco", spark, f"{tmp_path}/c.json", None, "d", mode="field").collect()}
     assert set(got) == {"x/a.jpg", "b.jpg", "c.jpg", "d.jpg"} and got["x/a.jpg"].group == "D1" and got["b.jpg"].group == "b"
     assert [tuple(b) for b in got["x/a.jpg"].boxes] == [("fish", 0.2, 0.3, 0.2, 0.2), ("5", 0.2, 0.3, 0.2, 0.2)] and not got["b.jpg"].boxes
     (tmp_path / "v").mkdir()
@@ -331,7 +335,7 @@ def test_coco_and_voc(spark, tmp_path):
     (tmp_path / "v" / "q.xml").write_text(one.format(f="", h=50))
     (tmp_path / "v" / "r.xml").write_text(one.format(f="r.jpg", h=0))
     (tmp_path / "v" / "s.xml").write_text("<annotation><filename>s.jpg")
-    got = {r.image_path: [tuple(b) for b in r.boxes] for r in readers.read_voc(spark, f"{tmp_path}/v", "d").collect()}
+    got = {r.image_path: [tuple(b) for b in r.boxes] for r in readers.read_voc(spark, f"{tmp_path}/v", None, "d").collect()}
     assert got == {"p.jpg": [("cod", 0.2, 0.3, 0.2, 0.2)], "q": [("cod", 0.2, 0.3, 0.2, 0.2)]}
     with pytest.raises(ValueError):
         readers.read("nothing")
@@ -343,7 +347,7 @@ def test_corpus_written_and_read_again(spark, tmp_path):
     assert rows(readers.yolo_corpus(spark, str(tmp_path))) == sorted([("train", "a", 0), ("train", "a", 1), ("val", "b", None)], key=repr)
     (tmp_path / "images").mkdir()
     (tmp_path / "images" / "a.jpg").write_bytes(b"x")
-    got = readers.read_yolo(spark, f"{tmp_path}/images", f"{tmp_path}/labels/train", "d", ["cod", "net"]).collect()
+    got = readers.read("yolo", spark, f"{tmp_path}/labels/train", f"{tmp_path}/images", "d", names=["cod", "net"]).collect()
     assert [b.label for b in got[0].boxes] == ["cod", "net"]
 
 
@@ -371,6 +375,99 @@ def test_enhancement_tables():
     assert (pixels.gamma(image) <= image).all() and pixels.interpolation(10, 5) == "area" and pixels.interpolation(5, 10) == "linear"
 
 
+def test_images_written_and_read_again():
+    r = np.random.default_rng(3)
+    colour, grey = r.integers(0, 256, (7, 5, 3)).astype(np.uint8), r.integers(0, 256, (6, 9)).astype(np.uint8)
+    assert (images.decode(images.encode_png(colour)) == colour).all() and (images.decode(images.encode_png(grey)) == grey).all()
+    assert images.decode(b"") is images.decode(None) is images.decode(images.encode_png(grey)[:40]) is images.decode(b"BM12") is None
+    for kind in range(5):  # every filter, put on by its definition and taken off again
+        lines, above = [], np.zeros((5, 3), dtype=int)
+        for line in colour.astype(int):
+            left, corner = np.vstack([[0, 0, 0], line[:-1]]), np.vstack([[0, 0, 0], above[:-1]])
+            p = left + above - corner
+            near = np.where((abs(p - left) <= abs(p - above)) & (abs(p - left) <= abs(p - corner)), left, np.where(abs(p - above) <= abs(p - corner), above, corner))
+            lines.append((line - [0, left, above, (left + above) // 2, near][kind]) & 255)
+            above = line
+        back, above = [], np.zeros((5, 3), dtype=np.uint8)
+        for line in lines:
+            above = images._unfiltered(kind, line.astype(np.uint8), above)
+            back.append(above)
+        assert (np.array(back) == colour).all()
+    pixel_rows = b"".join(line[:, ::-1].tobytes() + b"\0" for line in colour[::-1])
+    bmp = b"BM" + (54 + len(pixel_rows)).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little") + (40).to_bytes(4, "little") + (5).to_bytes(4, "little") + (7).to_bytes(4, "little") + (1).to_bytes(2, "little") + (24).to_bytes(2, "little") + bytes(24) + pixel_rows
+    assert (images.decode(bmp) == colour).all()
+
+
+def test_contrast_and_geometry_of_pixels():
+    r = np.random.default_rng(4)
+    flat = r.integers(100, 110, (64, 80)).astype(np.uint8)
+    spread = pixels.clahe(flat)
+    assert spread.shape == flat.shape and spread.std() > flat.std() and pixels.clahe(flat, clip=1e9).std() > spread.std()
+    assert pixels.clahe(np.full((9, 9), 7, dtype=np.uint8)).shape == (9, 9)
+    wide = np.zeros((10, 40, 3), dtype=np.uint8)
+    wide[:, 14:26] = 200
+    assert pixels.fitted(wide, 8, 6).shape == (6, 8, 3) and (pixels.fitted(wide, 8, 6) > 150).mean() > 0.8
+    padded = pixels.fitted(wide, 8, 6, "pad")
+    assert padded.shape == (6, 8, 3) and (padded[0] == 114).all() and pixels.resize(wide[..., 0], 80, 20).shape == (20, 80)
+
+
+def test_corpus_images_and_publishing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.png").write_bytes(images.encode_png(np.full((6, 8, 3), 90, dtype=np.uint8)))
+    (tmp_path / "in" / "b.png").write_bytes(b"no image")
+    items = spark.createDataFrame([(f"file://{tmp_path}/in/a.png", "train", "x_1"), (f"{tmp_path}/in/b.png", "val", "x_2"), (f"{tmp_path}/in/c.png", "val", "x_3")], "image_path string, split string, out_name string")
+    assert tuple(tables.write_images(items, f"{tmp_path}/out", 4, 3).first()) == (0, 1, 2)
+    assert images.decode((tmp_path / "out" / "images" / "train" / "x_1.png").read_bytes()).shape == (3, 4, 3)
+    labels_ = spark.createDataFrame([("train", "x_1", [(0, 0.5, 0.5, 0.1, 0.1)])], "split string, out_name string, labels array<struct<cid:int,cx:double,cy:double,w:double,h:double>>")
+    tables.write_label_files(labels_, f"{tmp_path}/out")
+    (tmp_path / "out" / "train_rfs.txt").write_text("./images/train/x_1.png\n")
+    tables.publish_enhanced(spark, f"{tmp_path}/out", f"{tmp_path}/better", {0: "cod"})
+    assert (tmp_path / "better" / "labels" / "train" / "x_1.txt").read_text() == "0 0.500000 0.500000 0.100000 0.100000\n"
+    assert "train: train_rfs.txt" in (tmp_path / "better" / "dataset_rfs.yaml").read_text() and (tmp_path / "better" / "train_rfs.txt").exists()
+    text = tables.domain_yaml(tables.dataset_yaml({0: "cod"}, "images/train", "images/val", "images/test", "/x"), "test", "surface")
+    assert "test: test_surface.txt" in text and "path:" not in text and "train: images/train" in text and "  0: cod" in text
+
+
+def test_report_as_text(spark):
+    items = spark.createDataFrame([("a", "train", 2), ("a", "train", 0), ("b", "val", 1)], "dataset string, split string, n_labels long")
+    labels_ = spark.createDataFrame([(0,), (0,), (1,), (None,)], "cid int")
+    classes = spark.createDataFrame([(0, "cod"), (1, "net"), (2, "none")], "cid int, name string")
+    drops = spark.createDataFrame([("a", "crab", 5), (None, None, 9)], "dataset string, label string, boxes long")
+    text = corpus.report_text(corpus.unify_report(items, labels_, classes, drops))
+    assert text.splitlines()[0] == "images" and "over the limit" in text and text.index("None") < text.index("a:crab")
+    assert {(r.section, r.name): r.n for r in corpus.unify_report(items.limit(0), labels_.limit(0), classes, drops.limit(0)).collect()}[("images", "total")] == 0
+
+
+def test_registry_selects(spark):
+    from sparkshoal.plans import build
+
+    registry = {"a": {}, "b": {"enabled": False}, "c": {"stride": 2}}
+    assert build.selected(registry) == ["a", "c"] and build.selected(registry, ["c", "b"]) == ["c"]
+    with pytest.raises(ValueError):
+        build.selected(registry, ["b"])
+
+
+def test_stopped_stream_goes_on_where_it_was(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.json").write_text(f'{{"uuid": "u{i}"}}\n')
+    start = lambda: stream.append(stream.stream(spark, f"{tmp_path}/in", files_per_trigger=1).select("uuid"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    stream.run_until(start(), lambda: True, 0.01)
+    assert stream.run_until(start(), lambda: False) is False
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [("u0",), ("u1",), ("u2",)]
+
+
+def test_shared_folder_is_asked_for_off_one_machine():
+    from types import SimpleNamespace
+
+    from sparkshoal import session
+
+    none = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="spark://far:7077", getConf=lambda: SimpleNamespace(get=lambda k: None), _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context))
+
+
 def test_image_lookup(spark):
     files = spark.createDataFrame([("root/a.jpg",), ("root/b.png",), ("root/b.jpg",), ("root/deep/c.JPG",), ("root/c.txt",)], "path string")
     wanted = spark.createDataFrame([("a.jpg",), ("b.bmp",), ("c.png",), ("none.jpg",), (None,)], "name string")
