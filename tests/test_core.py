@@ -534,3 +534,14 @@ def test_closure_reaches_the_end_of_deep_chains_and_cycles(spark):
     got = {tuple(r) for r in concepts.closure(spark, df).collect()}
     want = {(i, j) for i in range(150) for j in range(i + 1, 151)} | {(a, b) for a in (1000, 1001) for b in (1000, 1001)} | {(i, None) for i in range(4)} | {(None, j) for j in range(1, 151)} | {(None, None)}
     assert got == want and concepts.closure(spark, df.limit(0)).count() == 0
+
+
+def test_look_up_with_hot_keys(spark):
+    from sparkshoal.operators.lookup import looked_up
+
+    data = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{i % 40}") for i in range(600)]
+    df = spark.createDataFrame(data, "i long, k string")
+    table = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, v int")
+    want = rows(df.join(table, "k", "left"))
+    assert rows(looked_up(df, ["k"], table, few=50)) == rows(looked_up(df, ["k"], table)) == want
+    assert looked_up(df.limit(0), ["k"], table).count() == 0
