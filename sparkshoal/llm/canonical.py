@@ -4,9 +4,12 @@ A BK-tree over the reference entries under Levenshtein distance returns every
 entry within a threshold; the triangle inequality prunes subtrees. The search
 runs over a whole batch of distinct values at once: at each tree node the
 distance of the node's entry to all values still alive there is computed by the
-bit-parallel recurrence of Myers (1999, Hyyro's form) in numpy. Larger reference
-lists are cut into shards, each searched with its own tree; the rules that pick a
-winner are applied once, to the nearest entries of all shards.
+bit-parallel recurrence of Myers (1999, Hyyro's form) in numpy. The tree holds
+entries as folded letters without spaces, and every entry a value gets comes from
+it: readings of the value (as typed, without remarks, words in other order, in
+the singular, cut off by dots) are looked up, each within its own threshold.
+Larger reference lists are cut into shards, each searched with its own tree; the
+rules that pick a winner are applied once, to the nearest entries of all shards.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkshoal.session import table
+from sparkshoal.operators.lookup import looked_up
+from sparkshoal.session import checkpointed, table
 
 #: Letters of other scripts and digits that stand for a Latin letter by their look (fixed values).
 LOOKALIKE = {
@@ -32,7 +36,13 @@ LOOKALIKE = {
 DIGIT = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g"}
 #: Words and marks people add to a name without changing what it denotes (fixed values).
 REMARKS = ["cf", "aff", "sp", "spp", "indet", "juv", "juvenile", "adult", "unsure", "uncertain", "maybe", "possibly", "probably", "likely", "partial", "partly", "occluded", "left edge", "right edge", "top edge", "bottom edge", "left", "right", "edge", "cropped", "blurry", "blurred", "dead", "unknown", "tbc", "check"]
-_REMARK = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, REMARKS), key=len, reverse=True)) + r")\b\.?")
+
+
+def remark_pattern(remarks: list[str]) -> re.Pattern:
+    return re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, remarks), key=len, reverse=True)) + r")\b\.?") if remarks else re.compile(r"(?!)")
+
+
+_REMARK = remark_pattern(REMARKS)
 _COUNT = re.compile(r"#\s*\d+|\b\d+\s*[x×]\s+|\bx\s*\d+\b|\(\d+\)|\b\d+$")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -47,14 +57,14 @@ def fold(value: str) -> str:
     return "".join(out)
 
 
-def variants(value: str) -> list[str]:
+def variants(value: str, remarks: re.Pattern = _REMARK) -> list[str]:
     """Readings of a typed value, plainest first: as folded, then without remarks, then with its words in other order."""
     text = fold(value)
     if not any(ch.isalpha() for ch in text):
         return []
     text = re.sub(r"(?<=[a-z])[0-9](?=[a-z])|(?<=[a-z])[0-9](?=$|\s)|(?<![\w#])[0-9](?=[a-z]{3})", lambda m: DIGIT.get(m.group(), m.group()), text)
     plain = " ".join(_WORD.findall(text))
-    bare = _COUNT.sub(" ", _REMARK.sub(" ", text))
+    bare = _COUNT.sub(" ", remarks.sub(" ", text))
     out = [plain, " ".join(_WORD.findall(bare))]
     words = _WORD.findall(bare)
     if 2 <= len(words) <= 4:
@@ -165,69 +175,94 @@ def tolerance(length: int) -> int:
     return 0 if length < 4 else 1 if length < 6 else 2 if length < 12 else 3
 
 
-def _singular(text: str) -> list[str]:
-    return [text[: -len(e)] for e in ("es", "s") if text.endswith(e) and len(text) > len(e) + 3]
+def _joined(text: str) -> str:
+    return text.replace(" ", "")
+
+
+def readings(value: str, remarks: re.Pattern = _REMARK) -> list[tuple[str, int]]:
+    """What a value is looked up by, without spaces, plainest first, each with its tolerance; a singular of a plural must be an entry itself."""
+    texts = variants(value, remarks)
+    out = [(_joined(t), tolerance(len(t))) for t in texts]
+    out += [(_joined(t[: -len(e)]), 0) for t in texts for e in ("es", "s") if t.endswith(e) and len(t) > len(e) + 3]
+    return list(dict(reversed(out)).items())[::-1]
+
 
+Found = tuple[dict[str, tuple[int, int]], dict[str, int]]  # nearest entries with (distance, reading); entries a cut-off value goes on to with their distance
 
-def candidates(values: list[str], tree: BKTree) -> list[tuple[dict[str, int], list[str]]]:
-    """For each value the tree's nearest entries with their distance, and the entries that go on where a cut-off value ends.
 
-    Of the latter two are given at most: only a single one counts.
+def candidates(values: list[str], tree: BKTree, remarks: re.Pattern = _REMARK) -> list[Found]:
+    """For each value the tree's nearest entries, and the entries that begin with a value cut off by dots.
+
+    All come from searches of the tree under the edit metric: a cut-off value's
+    with the number of letters the longest entry has more, as an entry that
+    begins with a stem lies exactly as far from it as it has letters more. Of
+    these two are given at most: only a single one counts.
     """
-    texts, owner = [], []
+    texts, limits, owner = [], [], []
     for i, v in enumerate(values):
-        for t in variants(v):
+        for k, (t, limit) in enumerate(readings(v, remarks)):
             texts.append(t)
-            owner.append(i)
-    best: dict[int, dict[str, int]] = {}
-    for where, entry, d in tree.search(texts, np.array([tolerance(len(t)) for t in texts], dtype=np.int64)):
-        for at, dist in zip(where, d):
-            mine = best.setdefault(owner[at], {})
-            mine[entry] = min(mine.get(entry, 99), int(dist))
-    joined: dict[str, list[str]] = {}
-    for e in tree.entries:
-        joined.setdefault(e.replace(" ", ""), []).append(e)
-    out = []
+            limits.append(limit)
+            owner.append((i, k))
+    near: list[dict[str, tuple[int, int]]] = [{} for _ in values]
+    for where, entry, d in tree.search(texts, np.array(limits, dtype=np.int64)):
+        for at, dist in zip(where.tolist(), d.tolist()):
+            i, k = owner[at]
+            near[i][entry] = min((dist, k), near[i].get(entry, (99, 0)))
+    stems = []
     for i, v in enumerate(values):
-        near = best.get(i, {})
-        for t in variants(v):  # exact readings: same letters apart from spaces, a plural, a cut-off end
-            for x in [t, *_singular(t)]:
-                for e in joined.get(x.replace(" ", ""), []):
-                    near[e] = 0
-        longer: list[str] = []
         cut = re.fullmatch(r"(.*\S)\s*(?:…|\.{1,3})", v.strip())
-        if cut and 0 not in near.values():
-            stem = " ".join(_WORD.findall(fold(cut.group(1))))
-            longer = [e for e in tree.entries if len(stem) >= 5 and e.startswith(stem)][:2]
-        least = min(near.values(), default=0)
-        out.append(({e: d for e, d in near.items() if d == least}, longer))
+        stem = "".join(_WORD.findall(fold(cut.group(1)))) if cut else ""
+        if len(stem) >= 5 and not any(d == 0 for d, _ in near[i].values()):
+            stems.append((i, stem))
+    longer: list[dict[str, int]] = [{} for _ in values]
+    most = max(map(len, tree.entries), default=0)
+    for where, entry, d in tree.search([s for _, s in stems], np.array([max(0, most - len(s)) for _, s in stems], dtype=np.int64)):
+        for at, dist in zip(where.tolist(), d.tolist()):
+            i, stem = stems[at]
+            if entry.startswith(stem) and len(longer[i]) < 2:
+                longer[i][entry] = dist
+    out = []
+    for i in range(len(values)):
+        least = min((d for d, _ in near[i].values()), default=0)
+        out.append(({e: x for e, x in near[i].items() if x[0] == least}, longer[i]))
     return out
 
 
-def decide(value: str, near: dict[str, int], longer: list[str], names: dict[str, str]) -> tuple[str, int] | None:
-    """The one entry a value denotes with its distance, or None, from the candidates of the whole list."""
-    if len(longer) == 1 and 0 not in near.values():
-        near = {longer[0]: 0}
-    if not near:
+def decide(value: str, near: dict[str, tuple[int, int]], longer: dict[str, int], names: dict[str, list[str]], remarks: re.Pattern = _REMARK) -> tuple[str, int] | None:
+    """The one entry a value denotes with the distance of its reading, or None, from the candidates of the whole list.
+
+    Several entries equally near are told apart by two swapped neighbours (one
+    slip of the hand, two edits), then by the plainer reading.
+    """
+    if len(longer) == 1 and not any(d == 0 for d, _ in near.values()):
+        winners, least = list(longer), next(iter(longer.values()))
+    elif near:
+        least = min(d for d, _ in near.values())
+        winners = [e for e, (d, _) in near.items() if d == least]
+        if len(winners) > 1:
+            swaps = [e for e in winners if any(_swapped(t, e) for t, _ in readings(value, remarks))]
+            plainest = min(near[e][1] for e in winners)
+            winners = swaps if len(swaps) == 1 else [e for e in winners if near[e][1] == plainest]
+    else:
+        return None
+    if len(winners) != 1:
         return None
-    least = min(near.values())
-    winners = [e for e, d in near.items() if d == least]
-    if len(winners) > 1:
-        reads = variants(value)
-        swaps = [e for e in winners if any(_swapped(t, e) for t in reads)]
-        winners = swaps if len(swaps) == 1 else winners
-    return (names[winners[0]], least) if len(winners) == 1 else None
+    alike = names[winners[0]]  # entries that differ only in what folding takes away
+    codes, lengths = encode(alike)
+    return (alike[int(np.argmin(distances(value, codes, lengths)))] if len(alike) > 1 else alike[0], least)
 
 
-def match(values: list[str], tree: BKTree, names: dict[str, str]) -> list[tuple[str, int] | None]:
-    """The one entry each value denotes with its distance, or None.
+def match(values: list[str], tree: BKTree, names: dict[str, list[str]], remarks: re.Pattern = _REMARK) -> list[tuple[str, int] | None]:
+    """The one entry each value denotes with the distance of its nearest reading, or None.
 
     The nearest entry under the tree's metric wins. An entry that ties with
     another at the same distance is not chosen unless an exact check tells them
-    apart: two swapped neighbours (one slip of the hand, two edits) or a cut-off
-    end (``Baeraltria...``). A value nearer to no entry than its tolerance denotes none.
+    apart (``decide``). A value cut off by dots (``Baeraltria...``) denotes the
+    only entry that begins so. A value nearer to no entry than its tolerance
+    denotes none.
     """
-    return [decide(v, near, longer, names) for v, (near, longer) in zip(values, candidates(values, tree))]
+    return [decide(v, near, longer, names, remarks) for v, (near, longer) in zip(values, candidates(values, tree, remarks))]
 
 
 def _swapped(a: str, b: str) -> bool:
@@ -238,38 +273,49 @@ def _swapped(a: str, b: str) -> bool:
     return len(off) == 2 and off[1] == off[0] + 1 and a[off[0]] == b[off[1]] and a[off[1]] == b[off[0]]
 
 
-def canonical(rows: DataFrame, value: str, entries: DataFrame, entry: str, shard_entries: int = 50_000) -> DataFrame:
-    """``rows`` with the entry its value denotes and their distance, as ``_entry`` and ``_distance`` (null: none).
+def canonical(rows: DataFrame, value: str, entries: DataFrame, entry: str, shard_entries: int = 50_000, slice_values: int = 200_000, remarks: list[str] = REMARKS) -> DataFrame:
+    """``rows`` with the entry its value denotes and the distance of its nearest reading, as ``_entry`` and ``_distance`` (null: none).
 
     Each task looks up its own distinct values once, so nothing is shuffled and
-    a hot value costs one search a task. At most ``shard_entries`` entries are
-    sent to the tasks at once; more are taken in shards one after the other, each
-    of which adds its candidates, and the rules of ``match`` are applied once to
-    those of all shards, so the outcome does not depend on their number.
-    Null and blank values denote none. Existing columns ``_entry`` and ``_distance`` are replaced.
+    a hot value costs one search a task. That is so up to ``shard_entries``
+    entries, which are sent to the tasks. A larger list is cut into shards that
+    stay with the tasks: the distinct values meet every shard in slices of about
+    ``slice_values``, each pair of shard and slice in a task of its own, the
+    rules of ``match`` are applied once to the candidates of all shards, and rows
+    get their value's outcome by a join that hot values don't skew
+    (``looked_up``). The outcome is the same either way. ``remarks`` are words
+    and marks that don't change what a value denotes. Null and blank values
+    denote none. Existing columns ``_entry`` and ``_distance`` are replaced.
     """
-    spark = rows.sparkSession
+    pattern = remark_pattern(remarks)
     names = entries.select(F.col(entry).alias("e")).where("e is not null").distinct()
     shards = max(1, -(-names.count() // shard_entries))
     kept = rows.drop("_entry", "_distance")
-    parts = (sorted(r.e for r in names.where(F.pmod(F.xxhash64("e"), F.lit(shards)) == k).collect()) for k in range(shards))
-    schema = T.StructType([*kept.schema.fields, T.StructField("_entry", T.StringType()), T.StructField("_distance", T.IntegerType())])
     if shards == 1:
-        return kept.mapInArrow(_searcher(value, _folded(next(parts))), schema)
-    found = kept.withColumn("_entry", F.lit("").cast("string"))
-    for own in parts:
-        found = found.mapInArrow(_collector(value, _folded(own)), T.StructType(schema.fields[:-1]))
-    return found.mapInArrow(_decider(value), schema)
-
-
-def _folded(own: list[str]) -> dict[str, str]:
-    names: dict[str, str] = {}
-    for e in own:
-        names.setdefault(" ".join(_WORD.findall(fold(e))), e)
+        schema = T.StructType([*kept.schema.fields, T.StructField("_entry", T.StringType()), T.StructField("_distance", T.IntegerType())])
+        return kept.mapInArrow(_searcher(value, _folded(r.e for r in names.collect()), pattern), schema)
+    spark = rows.sparkSession
+    values = checkpointed(spark, kept.select(F.col(value).alias("v")).where("v is not null").distinct())
+    slices = max(1, -(-values.count() // slice_values))
+    left = values.select("v", F.pmod(F.xxhash64("v"), F.lit(slices)).alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    right = names.select("e", F.pmod(F.xxhash64("e"), F.lit(shards)).alias("own"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("part"))
+    found = left.groupBy("shard", "slice").cogroup(right.groupBy("own", "part")).applyInArrow(_collector(pattern), "v string, line string")
+    each = found.groupBy("v").agg(F.collect_list("line").alias("lines"))  # at most a line a shard
+    decided = checkpointed(spark, each.mapInArrow(_decider(pattern), "v string, _entry string, _distance int"))
+    return looked_up(kept.withColumn("v", F.col(value)), ["v"], decided).select(*kept.columns, "_entry", "_distance") if "v" not in kept.columns else looked_up(kept, [value], decided.withColumnRenamed("v", value)).select(*kept.columns, "_entry", "_distance")
+
+
+def _folded(own: Iterable[str]) -> dict[str, list[str]]:
+    """Entries by their folded letters, which the tree holds."""
+    names: dict[str, list[str]] = {}
+    for e in sorted(own):
+        key = "".join(_WORD.findall(fold(e)))
+        if key:
+            names.setdefault(key, []).append(e)
     return names
 
 
-def _searcher(value: str, names: dict[str, str]) -> Callable:
+def _searcher(value: str, names: dict[str, list[str]], remarks: re.Pattern) -> Callable:
     def run(batches):
         tree = BKTree(names)
         seen: dict[str, tuple[str, int] | None] = {}
@@ -278,55 +324,46 @@ def _searcher(value: str, names: dict[str, str]) -> Callable:
             if len(seen) > 500_000:
                 seen.clear()
             new = [x for x in dict.fromkeys(texts) if x is not None and x not in seen]
-            seen.update(zip(new, match(new, tree, names)))
-            yield _with_entries(batch, [seen[x] if x is not None else None for x in texts])
+            seen.update(zip(new, match(new, tree, names, remarks)))
+            got = [seen[x] if x is not None else None for x in texts]
+            found = [pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "_entry", "_distance"])
 
     return run
 
 
-def _with_entries(batch: pa.RecordBatch, got: list[tuple[str, int] | None]) -> pa.RecordBatch:
-    found = [pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())]
-    return pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, "_entry", "_distance"])
+def _collector(remarks: re.Pattern) -> Callable:
+    """The candidates a shard has for the values of a slice: a line of JSON for each value that has any."""
 
-
-def _collector(value: str, names: dict[str, str]) -> Callable:
-    """Adds a shard's candidates to the last column, ``_entry``: one line of JSON for each shard that has any."""
-
-    def run(batches):
-        tree = BKTree(names)
-        seen: dict[str, str] = {}
-        for batch in batches:
-            texts = batch.column(value).to_pylist()
-            if len(seen) > 500_000:
-                seen.clear()
-            new = [x for x in dict.fromkeys(texts) if x is not None and x not in seen]
-            for x, (near, longer) in zip(new, candidates(new, tree)):
-                seen[x] = json.dumps([near, longer, {e: names[e] for e in [*near, *longer]}]) + "\n" if near or longer else ""
-            lines = [old + (seen[x] if x is not None else "") for old, x in zip(batch.column("_entry").to_pylist(), texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lines, pa.string())], names=batch.schema.names)
+    def run(values: pa.Table, own: pa.Table) -> pa.Table:
+        names = _folded(own.column("e").to_pylist())
+        texts = values.column("v").to_pylist()
+        found = [(v, json.dumps([near, longer, {e: names[e] for e in [*near, *longer]}])) for v, (near, longer) in zip(texts, candidates(texts, BKTree(names), remarks)) if near or longer]
+        return pa.table({"v": pa.array([v for v, _ in found], pa.string()), "line": pa.array([x for _, x in found], pa.string())})
 
     return run
 
 
-def _decider(value: str) -> Callable:
-    """Applies the rules to the candidates of all shards that ``_entry`` holds."""
+def _decider(remarks: re.Pattern) -> Callable:
+    """Applies the rules to the candidates of all shards."""
 
-    def one(text: str | None, lines: str) -> tuple[str, int] | None:
-        near: dict[str, int] = {}
-        longer: dict[str, None] = {}
-        names: dict[str, str] = {}
-        for line in lines.splitlines():
+    def one(text: str, lines: list[str]) -> tuple[str, int] | None:
+        near: dict[str, tuple[int, int]] = {}
+        longer: dict[str, int] = {}
+        names: dict[str, list[str]] = {}
+        for line in lines:
             n, more, own = json.loads(line)
-            near.update(n)
-            longer.update(dict.fromkeys(more))
-            for e, name in own.items():  # entries alike when folded go by the first, as in one tree
-                names[e] = min(name, names.get(e, name))
-        return decide(text, near, list(longer), names) if names else None
+            near.update({e: min(tuple(x), near.get(e, (99, 0))) for e, x in n.items()})
+            longer.update(more)
+            for e, alike in own.items():
+                names[e] = sorted({*alike, *names.get(e, [])})
+        return decide(text, near, longer, names, remarks)
 
     def run(batches):
         for batch in batches:
-            got = [one(x, lines) for x, lines in zip(batch.column(value).to_pylist(), batch.column("_entry").to_pylist())]
-            yield _with_entries(batch.drop_columns(["_entry"]), got)
+            texts = batch.column("v").to_pylist()
+            got = [one(v, lines) for v, lines in zip(texts, batch.column("lines").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array([g[0] if g else None for g in got], pa.string()), pa.array([g[1] if g else None for g in got], pa.int32())], names=["v", "_entry", "_distance"])
 
     return run
 

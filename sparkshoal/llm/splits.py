@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkshoal.functions.text import group_of, split_name
+from sparkshoal.operators.lookup import looked_up
 from sparkshoal.session import checkpointed, table
 
 SHARES = {"train": 0.8, "val": 0.1, "test": 0.1}
@@ -66,7 +67,7 @@ def components(links: DataFrame, a: str, b: str, task_edges: int = 2_000_000, fa
         merged = checkpointed(spark, merged)
         # Shortcut: a root that is itself a node elsewhere hands its nodes on, and stays linked to its own root.
         up = merged.groupBy("node").agg(F.min("root").alias("higher")).withColumnRenamed("node", "root")
-        short = merged.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved"))
+        short = looked_up(merged, ["root"], up).select("node", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved"))
         forest = checkpointed(spark, short)
         several = forest.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
         if parts == least and not forest.where("moved").take(1) and not several.take(1):
@@ -140,10 +141,12 @@ def split_records(records: DataFrame, record: str, attributes: list[str], shares
     ends = rows.groupBy("record").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     tied = rows.join(ends.where("first <> last"), "record").select("first", "node").distinct()
     roots = components(tied, "first", "node")
-    homes = ends.select("record", F.col("first").alias("node")).join(roots, "node", "left").select("record", F.coalesce("root", "node").alias("root"))
+    # A group's node, or a component's root, may be that of a third of all records: hot keys are looked up where their rows are.
+    firsts = checkpointed(records.sparkSession, ends.select("record", F.col("first").alias("node")))
+    homes = looked_up(firsts, ["node"], roots).select("record", F.coalesce("root", "node").alias("root"))
     homes = checkpointed(records.sparkSession, homes)
     splits = assign(homes.groupBy("root").agg(F.count("*").alias("n")), shares).select("root", "split")
-    return homes.join(splits, "root").select("record", "root", "split")
+    return looked_up(homes, ["root"], checkpointed(records.sparkSession, splits)).select("record", "root", "split")
 
 
 def images(samples: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ NAMES = ["Burgaedua", "anchor lid", "Stamphaerus koniasata", "Giamnulpaeus", "Gp
 
 @pytest.mark.parametrize("value,entry", [("Burgaedua", "Burgaedua"), (" burgAEDUA\t", "Burgaedua"), ("Brugaedua", "Burgaedua"), ("Burgáedua", "Burgaedua"), ("Burgаedua", "Burgaedua"), ("B­urgaedua", "Burgaedua"), ("Burgaeduas", "Burgaedua"), ("cf. Burgaedua", "Burgaedua"), ("Burgaedua (juv.)", "Burgaedua"), ("Burgaedua #2", "Burgaedua"), ("2x Burgaedua", "Burgaedua"), ("lid, anchor", "anchor lid"), ("anchor-lid", "anchor lid"), ("anchorlid", "anchor lid"), ("netting cani…", "netting canister"), ("Stamphaerus koniasaa", "Stamphaerus koniasata"), ("Gianmulpaeus", "Giamnulpaeus"), ("class_12", None), ("", None), ("-", None), (None, None), ("glumir", None), ("anchor spool", None), ("x" * 5000, None)])
 def test_what_labels_denote(spark, value, entry):
-    tree_names = {" ".join(canonical._WORD.findall(canonical.fold(e))): e for e in NAMES}
+    tree_names = canonical._folded(NAMES)
     if value is not None:
         got = canonical.match([value], canonical.BKTree(tree_names), tree_names)[0]
         assert (got[0] if got else None) == entry
@@ -305,16 +305,15 @@ def collapse(data, bits=6):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [1, 3, 4096])
-def test_runs_equal_a_loop_whatever_the_block(spark, block, monkeypatch):
-    monkeypatch.setattr(runs, "BLOCK", block)
+@pytest.mark.parametrize("block", [1, 3, 40])
+def test_runs_equal_a_loop_whatever_the_block(spark, block):
     r = random.Random(block)
     data, value = [], 0
     for k in range(600):
         value = value if r.random() < 0.7 else r.getrandbits(63)
         data.append((r.choice(["a", "a", "a", "b", None]), None if r.random() < 0.05 else r.randrange(200), None if r.random() < 0.05 else value ^ (1 << r.randrange(63)), k, None, "x"))
     df = spark.createDataFrame(data, EVENTS)
-    got = runs.collapse(df, ["s"], "pos", "ev", "k", "t")
+    got = runs.collapse(df, ["s"], "pos", "ev", "k", "t", parts=block)
     assert sorted(((g.s, g.lo_key, g.hi_key, g.events) for g in got.collect()), key=repr) == collapse(data)
     assert runs.collapse(df.limit(0), ["s"], "pos", "ev", "k", "t").count() == 0
 
@@ -326,6 +325,14 @@ def test_duration_of_a_run(spark):
     assert (r.events, r.duration_s, r.first_position, r.last_position) == (3, 4.0, 1, 3)
 
 
+def test_frames_are_ordered_by_numbers_of_any_length(spark):
+    long = "1" + "0" * 45
+    data = [(i, "d", f"v/f_{n}.png", "g", 7, None, None) for i, n in enumerate(["9", "010", "11", "0" * 30 + "12", long, "none"])] + [(10, "d", "v/f_13.png", "g", -1, None, None)]
+    df = spark.createDataFrame(data, "sample_id long, dataset string, image_path string, group_key string, dhash long, captured_at timestamp, ingested_at timestamp")
+    got = runs.collapse(runs.frames(df), ["dataset", "group_name"], ["size", "frame"], "dhash", "sample_id", "captured_at", least=1)
+    assert rows(got.select("lo_key", "hi_key", "events", "last_position.frame")) == [(0, 3, 4, "12"), (10, 10, 1, "13"), (4, 4, 1, long)]
+
+
 # ---------------------------------------------------------------- 7 leakage
 
 
@@ -354,8 +361,8 @@ def test_leaked_passages(spark):
     ]
     d = spark.createDataFrame(docs, "doc_id long, text string, item_id string")
     i = spark.createDataFrame([(10, item), (10, item), (11, "too short"), (12, None), (None, item)], "item_id long, text string")
-    for shard in (2000, 1):
-        got = leakage.leaks(d, i, shard_items=shard)
+    for size in ({}, {"shard_chars": 1}, {"shard_chars": 1, "scan_chars": 20}):
+        got = leakage.leaks(d, i, **size)
         assert rows(got.where("distance = 0").select("doc_id", "item_id")) == [(1, 10), (2, 10), (8, 10)]
         assert rows(got.where("distance > 0").select("doc_id")) == [(4,), (5,)]
     assert leakage.leaks(d, i.limit(0)).count() == 0 and leakage.leaks(d.limit(0), i).count() == 0
@@ -374,6 +381,34 @@ def test_raking_meets_its_margins():
     assert (want <= tokens * 3 + 1e-6).all()
 
 
+def test_recall_of_edited_passages(spark):
+    """Passages with up to two planted edits, among words of their own and of others: all are found, and none with more than a few edits."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9)))
+    items = [(k, " ".join(word() for _ in range(14))) for k in range(20)]
+    docs, want = [], set()
+    for n in range(240):
+        k, edits = r.randrange(20), n % 7
+        words = items[k][1].split()
+        at = r.randrange(7)
+        part = list(" ".join(words[at : at + 8]))
+        for _ in range(edits):
+            i = r.randrange(len(part))
+            kind = r.randrange(3)
+            if kind == 0 and part[i] != " ":
+                part[i] = r.choice("qrstuvw")
+            elif kind == 1:
+                part.insert(i, r.choice("qrstuvw"))
+            elif part[i] != " ":
+                del part[i]
+        docs.append((n, " ".join(word() for _ in range(30)) + " " + "".join(part) + " " + " ".join(word() for _ in range(30))))
+        if edits <= 2:
+            want.add((n, k))
+    found = {(g.doc_id, g.item_id) for g in leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert want <= found
+    assert not {n for n, _ in found} & {n for n in range(240) if n % 7 == 6}
+
+
 def test_texts_are_counted_whole(spark):
     import base64
 
