@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sparkshoal.functions.keys import stable_bucket
 from sparkshoal.functions.text import group_of, split_name
 from sparkshoal.operators.lookup import looked_up
 from sparkshoal.session import checkpointed, table
@@ -111,14 +112,15 @@ def assign(groups: DataFrame, shares: Mapping[str, float] = SHARES, rank_task: i
 
     Only the histogram of sizes reaches the driver: N records have at most
     sqrt(2 N) different group sizes. Groups of one size are interchangeable;
-    they are ranked by (hash bucket, root) and the ranks cut at the greedy counts.
+    they are ranked by (bucket of an MD5, root), the same on every machine, and
+    the ranks cut at the greedy counts.
     """
     spark = groups.sparkSession
     sizes = [(r.n, r.k) for r in groups.groupBy("n").agg(F.count("*").alias("k")).collect()]
     names = list(shares)
     cuts = spark.createDataFrame([(s, [sum(g[: i + 1]) for i in range(len(g))]) for s, g in _picks(sizes, shares)], "n long, cut array<long>")
     buckets = max(16, sum(k for _, k in sizes) // rank_task + 1)
-    g = groups.withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(buckets)))
+    g = groups.withColumn("bucket", stable_bucket(F.col("root"), buckets))
     before = g.groupBy("n", "bucket").agg(F.count("*").alias("k")).select("n", "bucket", (F.sum("k").over(Window.partitionBy("n").orderBy("bucket")) - F.col("k")).alias("before"))
     ranked = g.withColumn("rn", F.row_number().over(Window.partitionBy("n", "bucket").orderBy("root"))).join(before, ["n", "bucket"]).join(cuts, "n")
     rank = F.col("before") + F.col("rn")
