@@ -519,9 +519,9 @@ def _cut(text: str, at: int) -> bool:
 
 
 def _hash(text: str, at: int) -> bool:
-    """True if the letters and digits that begin at a place read as a hexadecimal digest: small letters at two places or more."""
+    """True if the letters and digits that begin at a place read as a hexadecimal digest: small letters at two places or more, or between digits."""
     run = re.compile(r"[0-9a-f]{7,}(?![^\W_])").match(text, at)
-    return run is not None and len(re.findall(r"[a-f]+", run.group())) > 1
+    return run is not None and (len(re.findall(r"[a-f]+", run.group())) > 1 or re.fullmatch(r"\d+[a-f]+\d+", run.group()) is not None)
 
 
 def check(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

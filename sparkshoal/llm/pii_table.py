@@ -31,7 +31,7 @@ LATIN = ["us", "a", "um", "is", "ensis", "ata", "ii", "oides", "idae", "ops", "e
 
 PHONE = {
     "en": ["07### ######", "07###-######", "07### ### ###", "07#########", "020 #### ####", "0### ### ####", "0#### ######", "(0##) #### ####", "+44 7### ######", "+44 7### ### ###", "+44 20 #### ####", "+44 (0)20 #### ####", "0044 7### ### ###", "0044 20 #### ####", "(###) ###-####", "###-###-####", "###.###.####", "### ### ####", "+1 ### ### ####", "+1-###-###-####", "+1 (###) ###-####", "+1 (###) ### ####", "1-800-###-####", "###–###–####", "0 7 # # # # # # # ###", "+## ### #######", "+###########", "+### ## ### ####", "+### ### ## ## ##", "(+###) ### ## ## ##", "+###-###-######", "+### ### ######", "00### ### ## ## ##"],
-    "de": ["030 #######", "030/#######", "030 - ##### ##", "030 - ##### ###", "0### #######", "0###/######", "0###/#####-##", "0###-#######", "0#### ######", "+49 30 #######", "+49 30 ##### ###", "+49 ### #######", "+49 (0)### ######", "+49 (0)30 #####-###", "0049 ### #######", "030 ##### ###", "(0###) ######"],
+    "de": ["030 #######", "030/#######", "030/########", "030 ########", "0###/########", "030 - ##### ##", "030 - ##### ###", "0### #######", "0###/######", "0###/#####-##", "0###-#######", "0#### ######", "+49 30 #######", "+49 30 ##### ###", "+49 ### #######", "+49 (0)### ######", "+49 (0)30 #####-###", "0049 ### #######", "030 ##### ###", "(0###) ######"],
     "fr": ["0# ## ## ## ##", "0#.##.##.##.##", "0#-##-##-##-##", "0#########", "0### ######", "+33 # ## ## ## ##", "+33 (0)# ## ## ## ##", "0033 # ## ## ## ##", "+33 ### ## ## ##", "+33#########"],
     "es": ["6## ### ###", "6## ## ## ##", "9## ### ###", "9## ## ## ##", "+34 6## ### ###", "+34 ### ## ## ##", "0034 9## ### ###", "+34-###-######", "+34 ### ######", "6########", "(+34) 9## ## ## ##"],
 }
@@ -165,7 +165,8 @@ def _town(r: random.Random) -> str:
 
 
 def _road(r: random.Random) -> str:
-    return (r.choice(ROAD_NAME) if r.random() < 0.35 else _cap(r)) + (" " + r.choice(["Park", "Hill", "Mill"]) if r.random() < 0.08 else "")
+    one = lambda: r.choice(ROAD_NAME) if r.random() < 0.35 else _cap(r)
+    return one() + (" " + r.choice(["Park", "Hill", "Mill", one()]) if r.random() < 0.25 else "")
 
 
 def _address(r: random.Random, lang: str) -> str:
