@@ -11,7 +11,7 @@ from sparkshoal.functions import boxes as B
 from sparkshoal.functions import keys as K
 from sparkshoal.functions import images, pixels
 from sparkshoal.functions.text import file_name, file_stem, is_blank, split_name
-from sparkshoal.operators import audit, concepts, corpus, labels, packing, reduction
+from sparkshoal.operators import audit, concepts, corpus, labels, lookup, packing, reduction
 from sparkshoal.operators.labels import small
 from sparkshoal.operators.ranking import spread_row_number
 from sparkshoal.plans import build
@@ -491,21 +491,17 @@ def union_sources(spark, d):
 
 @query("select distinct dataset, image_path from samples except select dataset, source_path from manifest")
 def not_listed(spark, d):
-    a = table(spark, d, "samples").select("dataset", "image_path").distinct()
-    b = table(spark, d, "manifest").select("dataset", F.col("source_path").alias("image_path"))
-    return a.exceptAll(a.join(b, ["dataset", "image_path"], "left_semi"))
+    return lookup.difference(table(spark, d, "samples").select("dataset", "image_path"), table(spark, d, "manifest").select("dataset", F.col("source_path").alias("image_path")))
 
 
 @query("select distinct p.concept, m.concept is not null known from progress p left join fathomnet_concept_map m on m.concept = p.concept where p.concept is not null")
 def concept_flags(spark, d):
-    known = table(spark, d, "fathomnet_concept_map").select("concept").distinct().withColumn("k", F.lit(True))
-    return table(spark, d, "progress").where("concept is not null").select("concept").distinct().join(small(known), "concept", "left").select("concept", F.col("k").isNotNull().alias("known"))
+    return lookup.flagged(table(spark, d, "progress").where("concept is not null").select("concept").distinct(), table(spark, d, "fathomnet_concept_map"), "concept")
 
 
 @query("select out_name, n_boxes from manifest m where not exists (select 1 from label_files l where l.out_name = m.out_name) and n_boxes is not null")
 def not_done(spark, d):
-    done = table(spark, d, "label_files").where("out_name is not null").select("out_name").distinct()
-    return table(spark, d, "manifest").where("n_boxes is not null").select("out_name", "n_boxes").join(done, "out_name", "left_anti")
+    return lookup.not_in(table(spark, d, "manifest").where("n_boxes is not null").select("out_name", "n_boxes"), table(spark, d, "label_files"), ["out_name"])
 
 
 @query("select source, count(*) texts, case when b < 1024 then printf('%.1fB', b::double) when b < 1048576 then printf('%.1fKB', b / 1024.0) when b < 1073741824 then printf('%.1fMB', b / 1048576.0) else printf('%.1fGB', b / 1073741824.0) end size from (select source, n_chars, sum(n_chars) over (partition by source) b from documents where source is not null) group by source, b")
@@ -776,6 +772,62 @@ def enhanced_copies(spark, d):
     return tables.copy_images(jobs, tables.enhanced)
 
 
+@query("select n_nationkey, case when n_nationkey % 2 = 0 then -1 else 0 end::bigint hash from nation")
+def picture_hashes(spark, d):
+    """Difference hashes of picture files that grow brighter, or darker, from left to right."""
+    folder = _local(scratch_path(spark, "hashes"))
+
+    def paint(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            ramp = lambda key: np.repeat(np.arange(40, 40 + 18 * 6, 6, dtype=np.uint8)[None, :: 1 if key % 2 == 0 else -1], 16, axis=0)
+            yield pd.DataFrame({"place": [f"{folder}/{key}.png" for key in batch["n_nationkey"]], "content": [images.encode_png(ramp(key)) for key in batch["n_nationkey"]]})
+
+    def read(batches):
+        import numpy as np
+        import pandas as pd
+
+        for batch in batches:
+            grey = [np.frombuffer(x, dtype=np.uint8).reshape(h, w) for x, h, w in zip(batch["data"], batch["height"], batch["width"])]
+            yield pd.DataFrame({"path": batch["path"], "hash": [pixels.dhash(g) for g in grey]})
+
+    _write_files(table(spark, d, "nation").select("n_nationkey").mapInPandas(paint, "place string, content binary"))
+    found = readers.decoded(spark, folder, False).mapInPandas(read, "path string, hash long")
+    return found.select(file_stem(F.col("path")).cast("int").alias("n_nationkey"), "hash")
+
+
+@query("select out_name, split, dataset, group_key \"group\", n_boxes, source_path from manifest where out_name is not null")
+def manifest_round_trip(spark, d):
+    """The manifest written as CSV, in order, and read again."""
+    folder = scratch_path(spark, "manifest")
+    rows = table(spark, d, "manifest").where("out_name is not null").select("out_name", "split", "dataset", F.col("group_key").alias("group"), "n_boxes", "source_path")
+    tables.write_csv(rows, f"{folder}/manifest", ["out_name", "source_path"])
+    return tables.read_manifest(spark, f"{folder}/manifest", many_lines=True)
+
+
+@query("select case when n_regionkey < 3 then 'train' when n_regionkey = 3 then 'val' else 'test' end split, 'n' || n_nationkey image, case when s_suppkey is not null then n_regionkey end cid, count(*) lines from nation left join supplier on s_nationkey = n_nationkey group by all")
+def corpus_round_trip(spark, d):
+    """A corpus of 25 images written as label files and scanned again; images without boxes keep an empty file."""
+    folder = _local(scratch_path(spark, "corpus"))
+    per = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count("*").cast("int").alias("k"))
+    one = F.struct(F.col("n_regionkey").alias("cid"), F.lit(0.5).alias("cx"), F.lit(0.5).alias("cy"), F.lit(0.25).alias("w"), F.lit(0.25).alias("h"))
+    split = F.when(F.col("n_regionkey") < 3, "train").when(F.col("n_regionkey") == 3, "val").otherwise("test")
+    rows = table(spark, d, "nation").join(per, F.col("n_nationkey") == F.col("s_nationkey"), "left").select(split.alias("split"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("out_name"), F.when(F.col("k") > 0, F.array_repeat(one, F.col("k"))).otherwise(F.array().cast("array<struct<cid:int,cx:double,cy:double,w:double,h:double>>")).alias("labels"))
+    tables.write_label_files(rows, folder)
+    return readers.yolo_corpus(spark, folder).groupBy("split", "image", "cid").agg(F.count("*").alias("lines"))
+
+
+@query(f"select domain, './images/test/' || out_name || '.jpg' line from manifest join ({DOMAIN_SQL}) using (dataset) where {MANIFEST_SPLIT} = 'test'")
+def domain_lists(spark, d):
+    """Test images as one list a domain, written as text in order and read again; domains without any have no list."""
+    folder = scratch_path(spark, "lists")
+    rows = table(spark, d, "manifest").where(split_name(F.col("split")) == "test").join(small(_domains(spark)), "dataset").select("domain", F.concat(F.lit("./images/test/"), F.col("out_name"), F.lit(".jpg")).alias("line"))
+    tables.write_lines(rows, "line", ["domain", "line"], f"{folder}/lists", "domain")
+    return spark.read.schema("value string, domain string").text(f"{folder}/lists").select("domain", F.col("value").alias("line"))
+
+
 @query(f"select p.file_name image_path, resolved boxes from ({COMPLETE_SQL}) join progress p using (rec_id)")
 def coco_round_trip(spark, d):
     """The compiled log written as COCO tables and read again: every image with its boxes."""

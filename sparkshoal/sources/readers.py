@@ -30,7 +30,8 @@ from sparkshoal.operators.packing import read_tiny_files
 from sparkshoal.operators.reduction import first_of_each
 from sparkshoal.sources.listing import IMAGE_TYPES, find_images, listed
 
-COCO = "images array<struct<id:bigint,file_name:string,width:double,height:double,dive:string>>, annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>,iscrowd:int>>, categories array<struct<id:bigint,name:string>>"
+IMAGE = "struct<id:bigint,file_name:string,width:double,height:double,dive:string>"
+COCO = f"images array<{IMAGE}>, annotations array<struct<image_id:bigint,category_id:bigint,bbox:array<double>,iscrowd:int>>, categories array<struct<id:bigint,name:string>>"
 VOC = "filename string, size struct<width:string,height:string>, object array<struct<name:string,bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>"
 EMPTY = f"array<{B.BOX}>"
 
@@ -62,18 +63,23 @@ def coco_samples(docs: DataFrame, dataset: str, mode: str = "none", pattern: str
     an image without positive sides give no box; an unknown category's label is its
     id. Of repeated image ids the last counts, in the place of the first.
     """
-    docs = docs.select(F.col("path").alias("_doc"), "images", "annotations", "categories")
-    im = docs.select("_doc", F.posexplode("images").alias("pos", "im")).groupBy("_doc", F.col("im.id").alias("id")).agg(F.min("pos").alias("seq"), F.max_by("im", "pos").alias("im"))
-    # A document's categories are few, so names are looked up inside its row; the last of repeated ids counts.
+    # Images and annotations of a document become rows in one pass and meet in one aggregation by image, which is the only shuffle.
     name = lambda a: F.coalesce(F.try_element_at(F.filter("categories", lambda c: c["id"] == a["category_id"]), F.lit(-1))["name"], a["category_id"].cast("string"))
     plain = F.filter("annotations", lambda a: (F.coalesce(a["iscrowd"], F.lit(0)) == 0) & (F.size(a["bbox"]) == 4))
-    an = docs.select("_doc", F.posexplode(F.transform(plain, lambda a: F.struct(a["image_id"].alias("id"), name(a).alias("name"), a["bbox"].alias("bb")))).alias("apos", "a")).select("_doc", "apos", "a.*").join(im, ["_doc", "id"])
-    x, y, w, h = (F.col("bb")[i] for i in range(4))
-    one = B.from_corners(F.col("name"), x, y, x + w, y + h, F.col("im.width"), F.col("im.height"))
-    per = an.select("_doc", "id", "apos", one.alias("b")).where("b is not null").groupBy("_doc", "id").agg(F.array_sort(F.collect_list(F.struct("apos", "b"))).alias("bs"))
-    out = im.join(per, ["_doc", "id"], "left")
+    none = lambda kind: F.lit(None).cast(kind)
+    an_type = "struct<at:int,name:string,bb:array<double>>"
+    ims = F.transform("images", lambda im, i: F.struct(im["id"].alias("id"), i.alias("pos"), im.alias("im"), none(an_type).alias("an")))
+    ans = F.transform(plain, lambda a, i: F.struct(a["image_id"].alias("id"), none("int").alias("pos"), none(IMAGE).alias("im"), F.struct(i.alias("at"), name(a).alias("name"), a["bbox"].alias("bb")).alias("an")))
+    empty = F.array().cast(f"array<struct<id:bigint,pos:int,im:{IMAGE},an:{an_type}>>")
+    rows = docs.select(F.col("path").alias("_doc"), F.explode(F.concat(F.coalesce(ims, empty), F.coalesce(ans, empty))).alias("x")).select("_doc", "x.*")
+    out = rows.groupBy("_doc", "id").agg(F.min("pos").alias("seq"), F.max_by("im", "pos").alias("im"), F.array_sort(F.collect_list("an")).alias("ans")).where("seq is not null")
+
+    def one(a: Column) -> Column:
+        x, y, w, h = (a["bb"][i] for i in range(4))
+        return B.from_corners(a["name"], x, y, x + w, y + h, F.col("im.width"), F.col("im.height"))
+
     stem = file_stem(F.col("im.file_name"))
-    return _samples(out, dataset, F.col("im.file_name"), B.valid(F.transform("bs", lambda s: s["b"])), make_group(stem, mode, pattern, F.col("im.dive")), F.col("seq"))
+    return _samples(out, dataset, F.col("im.file_name"), B.valid(F.transform("ans", one)), make_group(stem, mode, pattern, F.col("im.dive")), F.col("seq"))
 
 
 def coco_table_samples(images: DataFrame, annotations: DataFrame, categories: DataFrame, dataset: str, mode: str = "none", pattern: str | None = None) -> DataFrame:

@@ -30,8 +30,9 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROGRESS).option("mode", "DROPMALFORMED").json(path).where("uuid is not null")
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).option("header", True).option("escape", '"').csv(path)
+def read_manifest(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
+    """A manifest as written. With ``many_lines`` values may hold line breaks; a file is then read by one task."""
+    return spark.read.schema(MANIFEST).option("header", True).option("escape", '"').option("multiLine", many_lines).csv(path)
 
 
 def read_concept_map(spark: SparkSession, path: str) -> DataFrame:
@@ -40,7 +41,8 @@ def read_concept_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A table as CSV files in order, blanks at the ends of values kept."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_corpus(items: DataFrame, path: str) -> None:
