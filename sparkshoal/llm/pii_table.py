@@ -15,7 +15,7 @@ from __future__ import annotations
 import random
 import re
 
-GIVEN = "James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Susan Thomas Sarah Karen Daniel Nancy Laura Kevin Emma Olivia Lukas Anna Stefan Sabine Klaus Monika Dieter Heike Ulrike Matthias Pierre Camille Julien Nathalie Antoine Isabelle Hugo Chloé Carlos Carmen Javier Lucía Miguel Pilar Diego Elena Mehmet Aisha Yuki Wei Priya Olga Ivan Fatima Kofi Ingrid Søren Zoë".split()
+GIVEN = "James Mary Robert Patricia Peter Jennifer Michael Linda David Elizabeth William Barbara Susan Thomas Sarah Karen Daniel Nancy Laura Kevin Emma Olivia Lukas Anna Stefan Sabine Klaus Monika Dieter Heike Ulrike Matthias Pierre Camille Julien Nathalie Antoine Isabelle Hugo Chloé Carlos Carmen Javier Lucía Miguel Pilar Diego Elena Mehmet Aisha Yuki Wei Priya Olga Ivan Fatima Kofi Ingrid Søren Zoë".split()
 FAMILY = "Johnson Williams Brown Jones Miller Davis Wilson Taylor Anderson White Harris Clark Lewis Walker Hall Young King Wright Baker Schmidt Schneider Fischer Weber Wagner Becker Hoffmann Koch Bauer Richter Martin Bernard Petit Durand Leroy Moreau Laurent Lefebvre Girard Hernández González Rodríguez Fernández Martínez Sánchez Pérez Ruiz Torres Kowalski Novak Ivanov Rossi Nakamura Chen Khan Singh Nguyen Okafor Haddad Larsen".split()
 PARTICLE = ["van", "von", "de", "de la", "van der", "da", "di", "al", "zu"]
 #: Kinds of natural and built places, as geographical dictionaries list them.

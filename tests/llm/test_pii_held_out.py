@@ -59,7 +59,7 @@ Passport number i[C03005988] has expired.
 passport i[533380006] issued abroad
 Steuer-ID i[86 095 742 719]
 Personalausweis i[L8988901C] liegt im Tresor.
-Numéro de sécurité sociale i[2 69 05 49 588 157 80]
+Voici mon numéro de sécurité sociale, i[2 69 05 49 588 157 80]
 Mi DNI es i[53172846H] y no lo encuentro.
 NIE i[X2482300W]
 They relocated to a[221 Baker Street, London] in autumn.
