@@ -16,8 +16,8 @@ def strip_space(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for null, empty or only white space."""
-    return F.coalesce(strip_space(c) == "", F.lit(True))
+    """True for null, empty or only white space; a long text is read up to its first other character only."""
+    return ~F.coalesce(c.rlike("[^" + SPACE[1:]), F.lit(False))
 
 
 def file_name(path: Column) -> Column:
