@@ -31,8 +31,8 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
-    """A manifest as written. With ``many_lines`` values may hold line breaks; a file is then read by one task."""
-    return spark.read.schema(MANIFEST).option("header", True).option("escape", '"').option("multiLine", many_lines).csv(path)
+    """A manifest as written: an unquoted empty value is null, an empty pair of quotes an empty value. With ``many_lines`` values may hold line breaks; a file is then read by one task."""
+    return spark.read.schema(MANIFEST).option("header", True).option("escape", '"').option("nullValue", "\\N").option("multiLine", many_lines).csv(path)
 
 
 def read_concept_map(spark: SparkSession, path: str) -> DataFrame:
