@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from sparkshoal.operators.ranking import spread_row_number
 from sparkshoal.session import checkpointed
 
-BLOCK = 20_000  # hashes of one group that a task decides at once
+BLOCK = 50_000  # hashes of one group that a task decides at once
 MOST_IN_A_TASK = 100_000  # rows that one task may sort
 
 

@@ -323,12 +323,12 @@ def coco_parse(spark, d):
     return found.select("image_path", F.size("boxes").cast("bigint").alias("boxes"), F.coalesce(F.aggregate("boxes", F.lit(0).cast("bigint"), lambda a, b: a + micro(b["cx"])), F.lit(0)).alias("cx"), "group")
 
 
-@query("select uuid, file_name, width, height, concept, len(boxes)::int n_boxes from progress where uuid is not null and rec_id % 10 <> 0")
+@query("select uuid, file_name, width, height, concept, len(boxes)::int n_boxes from progress where uuid is not null")
 def progress_log(spark, d):
-    """The log written as lines of text, every tenth cut off and followed by a blank one, and read again."""
+    """The log written as lines of text, each followed by a copy that is cut off and a blank line, and read again."""
     folder = scratch_path(spark, "progress-log")
-    lines = table(spark, d, "progress").select(F.to_json(F.struct("uuid", "file_name", "width", "height", "dive", "concept", "cls", "boxes")).alias("line"), (F.col("rec_id") % 10 == 0).alias("cut"))
-    lines.select(F.when(F.col("cut"), F.concat(F.expr("substring(line, 1, length(line) - 2)"), F.lit("\n"))).otherwise(F.col("line"))).write.mode("overwrite").text(f"{folder}/log")
+    lines = table(spark, d, "progress").select(F.to_json(F.struct("uuid", "file_name", "width", "height", "dive", "concept", "cls", "boxes")).alias("line"))
+    lines.select(F.explode(F.array("line", F.expr("substring(line, 1, length(line) - 2)"), F.lit(""))).alias("line")).write.mode("overwrite").text(f"{folder}/log")
     return tables.read_progress(spark, f"{folder}/log").select("uuid", "file_name", "width", "height", "concept", F.when(F.col("boxes").isNotNull(), F.size("boxes")).alias("n_boxes"))
 
 
