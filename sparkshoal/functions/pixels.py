@@ -32,7 +32,7 @@ def interpolation(source: int, target: int) -> str:
 
 def dhash(gray: np.ndarray) -> int:
     """64-bit difference hash of a gray image as a signed number: 9 by 8 means, a bit where left is less than right."""
-    small = np.rint(shrink(gray, 9, 8))
+    small = np.rint(np.round(shrink(gray, 9, 8), 9))  # a mean that is half a level to nine digits is taken as half
     bits = (small[:, :-1] < small[:, 1:]).ravel()
     value = int("".join("1" if b else "0" for b in bits), 2)
     return value - (1 << 64) if value >> 63 else value

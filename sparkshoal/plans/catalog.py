@@ -16,7 +16,7 @@ from sparkshoal.operators.labels import small
 from sparkshoal.operators.ranking import spread_row_number
 from sparkshoal.plans import build
 from sparkshoal.session import remove_path, scratch_path, table
-from sparkshoal.sources import listing, readers, tables
+from sparkshoal.sources import archives, listing, readers, tables
 from sparkshoal.streaming import progress as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -571,7 +571,14 @@ def palette_masks(spark, d):
     return readers.mask_samples(images, "masks", {"255,255,255": "bright"}, 0.05, 0.6).select("image_path", F.size("boxes").alias("boxes"))
 
 
-@query()
+# Eight pixels a row become nine means, each of two neighbours; of 64 pixels the white balance cuts none at either end.
+LUT_SQL = """with g as (select vec_id, list_transform(embedding, lambda x: floor((least(greatest(x, -1::float), 1::float) + 1::float) * 127::float)::int) v from embeddings),
+s as (select vec_id, v, list_transform(range(0, 72), lambda i: round_even(((i % 9) * coalesce(v[(i // 9) * 8 + i % 9], 0) * (case when i % 9 = 0 then 0 else 1 end) + (8 - i % 9) * (case when i % 9 = 8 then 0 else v[(i // 9) * 8 + i % 9 + 1] end)) / 8.0, 0)) m from g),
+h as (select vec_id, v, list_reduce(list_prepend(0::hugeint, list_transform(range(0, 64), lambda i: (case when m[(i // 8) * 9 + i % 8 + 1] < m[(i // 8) * 9 + i % 8 + 2] then 1 else 0 end)::hugeint)), lambda acc, x: acc * 2 + x) hash from s)
+select vec_id, (case when hash >= 9223372036854775808 then hash - 18446744073709551616 else hash end)::bigint hash, list_avg(v) level, list_avg(list_transform(v, lambda x: round_even((x - list_min(v)) * (255.0::double / greatest(list_max(v) - list_min(v), 1)), 0))) balanced, list_avg(list_transform(v, lambda x: floor(pow(x / 255.0::double, 1 / 0.7::double) * 255))) brightened from h"""
+
+
+@query(LUT_SQL)
 def lut_ops(spark, d):
     """White balance and gamma over embeddings as small images: mean level before and after."""
 
@@ -828,6 +835,50 @@ def domain_lists(spark, d):
     return spark.read.schema("value string, domain string").text(f"{folder}/lists").select("domain", F.col("value").alias("line"))
 
 
+@query("select file_path path, '.txt' ext, (row_number() over (order by file_path))::int rank from (select distinct file_path from label_files where lower(file_path) like '%.txt') qualify rank <= 6 union all select * from (select distinct source_path path, '.json' ext, 0 rank from manifest where source_path like '%.json')")
+def tree_notes(spark, d):
+    """The first annotation files of each ending."""
+    files = table(spark, d, "label_files").select(F.col("file_path").alias("path")).unionByName(table(spark, d, "manifest").select(F.col("source_path").alias("path"))).distinct()
+    return audit.tree_summary(files)[1].select("path", "ext", "rank")
+
+
+@query(f"select dataset name, case when domain = 'surface' then 'complete' when dataset = 'murkbay' then 'failed' else 'pending' end status from ({DOMAIN_SQL})")
+def source_states(spark, d):
+    """States of sources, kept in a file that is read anew, beside the whole registry."""
+    path = _local(scratch_path(spark, "state")) + "/state.json"
+    states = tables.StateTable(path)
+    states.set("murkbay", "downloading")
+    states.set("murkbay", "failed", error="no answer")
+    for name, domain in DOMAINS.items():
+        if domain == "surface":
+            states.set(name, "complete")
+    return tables.StateTable(path).listing(spark, _domains(spark).select(F.col("dataset").alias("name"))).select("name", "status")
+
+
+@query("select concept, boxes, unified_class, method, via from fathomnet_concept_map where trim(coalesce(unified_class, '')) <> ''")
+def concept_map_round_trip(spark, d):
+    """The reviewed concept map written as CSV and read again; rows with a blank class stay out."""
+    folder = scratch_path(spark, "map")
+    tables.write_csv(table(spark, d, "fathomnet_concept_map").select("concept", "boxes", "unified_class", "method", "via"), f"{folder}/map", ["concept"])
+    return tables.read_concept_map(spark, f"{folder}/map")
+
+
+@query("select 'n' || n_nationkey || '.txt' name, length(n_name) bytes from nation")
+def archive_files(spark, d):
+    """An archive with litter and one top folder, found by part of its name, unpacked and listed; nothing leaves the folder."""
+    import zipfile
+
+    folder = _local(scratch_path(spark, "archive"))
+    with zipfile.ZipFile(f"{folder}/nations_v2.zip", "w") as z:
+        for r in table(spark, d, "nation").select("n_nationkey", "n_name").collect():  # 25 rows
+            z.writestr(f"top/texts/n{r.n_nationkey}.txt", r.n_name)
+        z.writestr("top/__MACOSX/n1.txt", "x")
+        z.writestr("top/texts/.DS_Store", "x")
+    archives.extract(archives.find_archive("nations.zip", [f"{folder}/nowhere", folder]), f"{folder}/out")
+    texts = listing.resolve_path(f"{folder}/out", "TEXTS", folder=True)
+    return listing.listed(spark, texts).select(file_name(F.col("path")).alias("name"), F.col("length").alias("bytes"))
+
+
 @query(f"select p.file_name image_path, resolved boxes from ({COMPLETE_SQL}) join progress p using (rec_id)")
 def coco_round_trip(spark, d):
     """The compiled log written as COCO tables and read again: every image with its boxes."""
