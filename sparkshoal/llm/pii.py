@@ -26,7 +26,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sparkshoal.llm import pii_table
 from sparkshoal.session import table, worker_cache
