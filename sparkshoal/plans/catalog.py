@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from sparkshoal.functions import boxes as B
 from sparkshoal.functions import keys as K
 from sparkshoal.functions import images, pixels
-from sparkshoal.functions.text import file_name, file_stem, is_blank, split_name
+from sparkshoal.functions.text import file_name, file_stem, split_name
 from sparkshoal.operators import audit, concepts, corpus, labels, lookup, packing, reduction
 from sparkshoal.operators.labels import small
-from sparkshoal.operators.ranking import spread_row_number
 from sparkshoal.plans import build
-from sparkshoal.session import remove_path, scratch_path, table
+from sparkshoal.session import scratch_path, table
 from sparkshoal.sources import archives, listing, readers, tables
 from sparkshoal.streaming import progress as stream
 

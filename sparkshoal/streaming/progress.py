@@ -51,8 +51,3 @@ def recompute(lines: DataFrame, log: str, compile_: Callable[[DataFrame], DataFr
         compile_(spark.read.parquet(log)).write.mode("overwrite").parquet(out)
 
     return lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def running_counts(lines: DataFrame, by: str) -> DataFrame:
-    """Lines so far by a column, for complete output mode."""
-    return lines.groupBy(by).agg(F.count("*").alias("lines"))

@@ -344,6 +344,9 @@ def test_coco_and_voc(spark, tmp_path):
 def test_corpus_written_and_read_again(spark, tmp_path):
     items = spark.createDataFrame([("train", "a", [(0, 0.5, 0.5, 0.1, 0.1), (1, 0.5, 0.5, 0.2, 0.2)]), ("val", "b", [])], "split string, out_name string, labels array<struct<cid:int,cx:double,cy:double,w:double,h:double>>")
     assert tables.write_label_files(items, str(tmp_path)) == 2
+    for part in (items, items.where("split = 'train'")):  # a second build leaves nothing of the first
+        tables.write_corpus(part, f"{tmp_path}/table")
+    assert rows(spark.read.parquet(f"{tmp_path}/table").select("split", "out_name", F.size("labels"))) == [("train", "a", 2)]
     assert rows(readers.yolo_corpus(spark, str(tmp_path))) == sorted([("train", "a", 0), ("train", "a", 1), ("val", "b", None)], key=repr)
     (tmp_path / "images").mkdir()
     (tmp_path / "images" / "a.jpg").write_bytes(b"x")
