@@ -236,6 +236,21 @@ def test_votes_choose_among_equally_preferred_lines(spark, monkeypatch):
     assert run()[0].val_record == 0
 
 
+def test_votes_decide_the_fused_lines_and_are_not_taken_for_the_rule(spark, tmp_path, monkeypatch):
+    u = lambda i: f"{i:032x}"
+    b = lambda x: [("c", x, 0.0, 1.0, 1.0)]
+    at = dt.datetime(2032, 1, 1)
+    # Of three tools two agree on every image, against the one that wrote the first line; all lines are equally full and old.
+    data = [(10 * i + k, name, f"{u(i)}{end}", 1, 1, "d", concept, "k", b(x), at, None) for i in range(1, 9) for k, (name, end, concept, x) in enumerate([(u(i), ".jpg", "Z", 9.0), (u(i), ".png", "A", 1.0), ("{" + u(i) + "}", ".png", "A", 1.0)])]
+    spark.createDataFrame(data, PROGRESS).write.parquet(f"{tmp_path}/progress.parquet")
+    fused = lambda: {(r.boxes_rec_id % 10, r.concept) for r in fusion.p3_fused(spark, str(tmp_path)).collect()}
+    assert fused() == {(1, "A")}
+    monkeypatch.setattr(fusion, "votes", lambda mask, accuracy, copies: 0.0)
+    assert fused() == {(0, "Z")}
+    monkeypatch.setattr(fusion, "fuse_wide", None)  # the rule of p3_found needs no stage of fusion
+    assert rows(fusion.p3_found(spark, str(tmp_path))) == [(10 * i, 10 * i, 10 * i) for i in range(1, 9)]
+
+
 def test_rare_sources_keep_their_own_votes(spark):
     from pyspark.sql import functions as F
 
