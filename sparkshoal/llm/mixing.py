@@ -3,8 +3,8 @@
 Token weights of (source, language, topic) cells are raked to the wanted shares
 of the sources and the natural shares of languages and topics by iterative
 proportional fitting, with each source's cap on repeats kept. Topics are clusters
-of texts by their tokens, fitted on a bounded sample (``fit_topics``) and given to
-every text where its tokens are counted. A text's expected
+of texts by their tokens, fitted on all texts (``fit_topics``): each is encoded
+once, and passes over its token counts move the centres. A text's expected
 number of uses is its cell's weight over its cell's tokens: the whole part is
 given, the rest drawn in the order of a hash of its id over the rest. How far the
 draw goes is calibrated for each source on a histogram of all its texts by that
@@ -22,19 +22,24 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from pyspark.sql.window import Window
 
 from sparkshoal.functions.text import is_blank
-from sparkshoal.session import checkpointed, table, worker_cache
+from sparkshoal.session import checkpointed, remove_path, scratch_path, settings, table, worker_cache
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's makers cut text before merging (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LANGUAGES = ("en", "de", "fr", "es")
 TOPICS = 6  # clusters of texts
-SAMPLE = 2_000  # texts the clusters are fitted on, at most
 HASHED = 2_048  # buckets token numbers are counted in
+AT_ONCE = 1 << 16  # counts of a block of texts
+FINE = 1 << 20  # parts of one in which texts are summed: whole numbers, whose sum no order of texts changes
 BUCKETS = 1024
+#: Columns of a block of texts: arrays, and packed numbers (see ``text_blocks``).
+KEPT = ("doc_id", "source", "lang", "tokens")
+PACKED = {"draws": "<i8", "sizes": "<u2", "buckets": "<u2", "counts": "<u4"}
 #: Runs of white space that the pattern's engine, which goes back over them, is spared. White space as that engine has it.
 LONG_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
@@ -61,6 +66,8 @@ def _encoder(path: str) -> Callable:
 
 def encode_whole(code, text: str) -> list[int]:
     """Tokens of a text of any form; see ``token_counts``."""
+    if len(text) < 1000:  # no room for a long run
+        return code.encode_ordinary(text)
     out: list[int] = []
     at = 0
     for run in LONG_BLANK.finditer(text):
@@ -71,62 +78,200 @@ def encode_whole(code, text: str) -> list[int]:
     return out + code.encode_ordinary(text[at:]) if at else code.encode_ordinary(text)
 
 
-def fit_topics(documents: DataFrame, path: str = TOKENIZER, topics: int = TOPICS, sample: int = SAMPLE, seed: int = 42) -> np.ndarray:
-    """Weights (topic, bucket of a token's number) whose sum over a text's tokens is greatest for its topic.
-
-    Spherical k-means over hashed token counts, weighted by their rarity, of at
-    most ``sample`` texts, those first in the order of a hash of their ids; only
-    their counts reach the driver (``sample`` by ``HASHED`` numbers). Fewer texts than topics
-    give fewer topics, none gives one.
-    """
+def sizes_and_bags(path: str):
+    """A column function: ``tokens`` of a text, and which buckets of token numbers it has (``buckets``, 16 bits each) how often (``counts``, 32 bits each)."""
     get = _encoder(path)
 
-    @F.pandas_udf("array<float>")
-    def bags(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("tokens long, buckets binary, counts binary")
+    def run(texts: pd.Series) -> pd.DataFrame:
         code = get()
-        return texts.map(lambda t: np.bincount(np.asarray(encode_whole(code, t), dtype=np.int64) % HASHED, minlength=HASHED).astype(np.float32))
-
-    at = F.xxhash64("doc_id", F.lit(seed))
-    # Where the sample ends in the order of the hash is found on ids alone; no text is sorted or moved.
-    end = documents.where("doc_id is not null").select(at.alias("at")).orderBy("at").limit(max(1, sample)).agg(F.max("at")).first()[0]
-    chosen = documents.where(F.col("doc_id").isNotNull() & (at <= F.lit(end))).select("doc_id", "text").dropDuplicates(["doc_id"]).where(~is_blank(F.col("text")))
-    rows = [r.bag for r in chosen.select("doc_id", bags("text").alias("bag")).sort("doc_id").collect()] if end is not None else []
-    counts = np.array(rows, dtype=np.float32).reshape(-1, HASHED)
-    if not len(counts):
-        return np.zeros((1, HASHED), dtype=np.float32)
-    rarity = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1e-3
-    x = counts * rarity
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    x = np.unique(np.round(x, 6), axis=0)
-    rng = np.random.default_rng(seed)
-    centres = x[[int(rng.integers(len(x)))]]
-    while len(centres) < min(topics, len(x)):  # the next centre is the text least like those there are
-        centres = np.vstack([centres, x[[int((x @ centres.T).max(axis=1).argmin())]]])
+        out = []
+        for t in texts:
+            ids = np.asarray(encode_whole(code, t) if isinstance(t, str) else [], dtype=np.int64)
+            counts = np.bincount(ids % HASHED, minlength=HASHED)
+            buckets = counts.nonzero()[0] if len(ids) else np.zeros(1, dtype=np.int64)
+            out.append((len(ids), buckets.astype("<u2").tobytes(), counts[buckets].astype("<u4").tobytes()))
+        return pd.DataFrame(out, columns=["tokens", "buckets", "counts"])
+
+    return run
+
+
+def text_blocks(documents: DataFrame, source: Column, path: str = TOKENIZER, seed: int = 42) -> DataFrame:
+    """Every text that isn't blank once, of the smallest doc_id with a ``source``, in blocks of ``AT_ONCE`` counts at most, but a text at least.
+
+    A block has its texts' doc_id, source, lang and tokens as arrays, and as packed
+    numbers their draws (64 bits, by doc_id), how many buckets each has (16), and all
+    buckets (16) and counts (32), so that a pass over them costs few rows.
+    """
+    lang = F.when(F.col("lang").isin(*LANGUAGES), F.col("lang")).otherwise("other")
+    small = documents.where(F.col("doc_id").isNotNull() & ~is_blank(F.col("text"))).select("doc_id", F.md5("text").alias("text_id"), source.alias("source"), lang.alias("lang"), sizes_and_bags(path)("text").alias("x")).select("doc_id", "text_id", "source", "lang", "x.*")
+    one = F.min(F.struct(F.col("source").isNull().alias("unwanted"), "doc_id", "source", "lang", "tokens", "buckets", "counts"))
+    texts = small.groupBy("text_id").agg(one.alias("r")).select(*[f"r.{c}" for c in KEPT], F.xxhash64("r.doc_id", F.lit(seed)).alias("draw"), "r.buckets", "r.counts")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            at, buckets = _numbers(batch.column("buckets"), "<u2")
+            counts = _numbers(batch.column("counts"), "<u4")[1]
+            start = 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(at, at[start] + AT_ONCE, side="right")) - 1)
+                own, here = batch.slice(start, stop - start), slice(at[start], at[stop])
+                packed = own.column("draw").to_numpy().astype("<i8"), np.diff(at[start : stop + 1]).astype("<u2"), buckets[here], counts[here]
+                lists = [pa.ListArray.from_arrays(pa.array([0, stop - start], pa.int32()), own.column(c)) for c in KEPT]
+                yield pa.RecordBatch.from_arrays([*lists, *[pa.array([x.tobytes()], pa.binary()) for x in packed]], names=[*KEPT, *PACKED])
+                start = stop
+
+    schema = StructType()
+    for c in KEPT:
+        schema.add(c, ArrayType(texts.schema[c].dataType))
+    for c in PACKED:
+        schema.add(c, BinaryType())
+    return texts.mapInArrow(run, schema)
+
+
+def _numbers(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the numbers of each value of a binary Arrow column begin and end, and the numbers of all."""
+    import pyarrow as pa
+
+    if not len(column):
+        return np.zeros(1, dtype=np.int64), np.zeros(0, dtype=kind)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype="<i8" if pa.types.is_large_binary(column.type) else "<i4")[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return (at - at[0]) // np.dtype(kind).itemsize, np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]].view(kind)
+
+
+def _block(batch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block, where each text's counts begin, and the bucket and the number of each count. Every text has a count."""
+    sizes, buckets, counts = (np.frombuffer(batch.column(c)[i].as_buffer(), PACKED[c]) for c in ("sizes", "buckets", "counts"))
+    return np.cumsum(sizes, dtype=np.int64) - sizes, buckets.astype(np.intp), counts.astype(float)
+
+
+def _likeness(weights: np.ndarray, starts: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of each topic's weights over each text's tokens (topic, text)."""
+    out = np.empty((len(weights), len(starts)))
+    for k, w in enumerate(weights):
+        x = w.take(buckets)
+        x *= counts
+        np.add.reduceat(x, starts, out=out[k])
+    return out
+
+
+def _unit(rarity: np.ndarray, starts: np.ndarray, buckets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts weighted by rarity, and their length for each text."""
+    x = rarity.take(buckets) * counts
+    return x, np.maximum(np.sqrt(np.add.reduceat(x * x, starts)), 1e-9)
+
+
+def _totals(blocks: DataFrame, size: int, part: Callable) -> np.ndarray:
+    """``size`` whole numbers, summed over all texts; ``part`` gives those of a block. Tasks hand on one row each, the driver gets one in all."""
+
+    def run(batches):
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                total += part(*_block(batch, i))
+        yield _row(total=total.tobytes())
+
+    def add(batches):
+        total = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for x in batch.column("total"):
+                total += np.frombuffer(x.as_buffer(), dtype=np.int64)
+        yield _row(total=total.tobytes())
+
+    rows = blocks.select("sizes", "buckets", "counts").mapInArrow(run, "total binary").repartition(1).mapInArrow(add, "total binary").collect()
+    return np.frombuffer(rows[0].total, dtype=np.int64) if rows else np.zeros(size, dtype=np.int64)
+
+
+def _row(**values):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([v]) for v in values.values()], names=list(values))
+
+
+def _next_centre(blocks: DataFrame, centres: np.ndarray, rarity: np.ndarray) -> np.ndarray | None:
+    """A text drawn from all, in proportion to how unlike the nearest centre it is (k-means++); None if there is none unlike."""
+    weights, step = np.vstack([np.zeros((1, HASHED)), centres * rarity]), len(centres)
+
+    def run(batches):
+        best = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                starts, buckets, counts = _block(batch, i)
+                unlike = 1 - (_likeness(weights, starts, buckets, counts) / _unit(rarity, starts, buckets, counts)[1]).max(axis=0)
+                # The least of exponential times whose rates are the unlikenesses, by a draw of its own for each centre.
+                draw = np.frombuffer(batch.column("draws")[i].as_buffer(), "<u8") * np.uint64(2 * step + 1)
+                u = (((draw ^ (draw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(12)).astype(float) + 0.5) / float(1 << 52)
+                key = np.where(unlike > 1e-9, -np.log(u) / np.maximum(unlike, 1e-9), np.inf)
+                j = int(key.argmin())
+                if key[j] < (best["key"] if best else np.inf):
+                    here = slice(starts[j], starts[j + 1] if j + 1 < len(starts) else None)
+                    best = {"key": float(key[j]), "draw": int(draw[j]) >> 1, "buckets": buckets[here].astype("<u2").tobytes(), "counts": counts[here].astype("<u4").tobytes()}
+        if best:
+            yield _row(**best)
+
+    r = blocks.select(*PACKED).mapInArrow(run, "key double, draw long, buckets binary, counts binary").orderBy("key", "draw").first()
+    if r is None:
+        return None
+    x = np.zeros(HASHED)
+    x[np.frombuffer(r.buckets, "<u2")] = np.frombuffer(r.counts, "<u4")
+    x *= rarity
+    return x / np.linalg.norm(x)
+
+
+def fit_topics(blocks: DataFrame, topics: int = TOPICS) -> np.ndarray:
+    """Weights (topic, bucket of a token's number) whose sum over a text's tokens is greatest for its topic.
+
+    Spherical k-means over the hashed token counts of all texts of ``blocks`` (see
+    ``text_blocks``), weighted by their rarity. Each step is one pass: rarity, the
+    first centres, and up to 20 moves of the centres, ended when they stay. Only
+    sums (``topics`` by ``HASHED`` numbers) reach the driver; neither the order of
+    texts nor their parting changes them. Fewer different texts than topics give fewer
+    topics, none gives one.
+    """
+    seen = _totals(blocks, HASHED + 1, lambda starts, buckets, counts: np.append(np.bincount(buckets, minlength=HASHED), len(starts)))
+    if not seen[HASHED]:
+        return np.zeros((1, HASHED))
+    rarity = np.log((1 + seen[HASHED]) / (1 + seen[:HASHED])) + 1e-3
+    centres = np.zeros((0, HASHED))
+    while len(centres) < topics and (x := _next_centre(blocks, centres, rarity)) is not None:
+        centres = np.vstack([centres, x])
     for _ in range(20):
-        own = (x @ centres.T).argmax(axis=1)
-        new = np.stack([x[own == k].mean(axis=0) if (own == k).any() else centres[k] for k in range(len(centres))])
-        new /= np.maximum(np.linalg.norm(new, axis=1, keepdims=True), 1e-9)
+        weights = centres * rarity
+
+        def part(starts, buckets, counts, weights=weights):
+            own = _likeness(weights, starts, buckets, counts).argmax(axis=0)
+            x, length = _unit(rarity, starts, buckets, counts)
+            sizes = np.diff(np.append(starts, len(buckets)))
+            x = np.rint(x * np.repeat(FINE / length, sizes))
+            return np.bincount(np.repeat(own * HASHED, sizes) + buckets, weights=x, minlength=weights.size).astype(np.int64)
+
+        new = _totals(blocks, centres.size, part).reshape(centres.shape).astype(float)
+        length = np.linalg.norm(new, axis=1, keepdims=True)
+        new = np.where(length > 0, new / np.maximum(length, 1e-9), centres)
         if np.abs(new - centres).max() < 1e-5:
             break
         centres = new
-    return (centres * rarity).astype(np.float32)
+    return centres * rarity
 
 
-def sizes_and_topics(path: str, weights: np.ndarray):
-    """A column function: ``tokens`` and ``topic`` of a text."""
-    get = _encoder(path)
+def with_topics(blocks: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The texts of ``blocks``, a row each, with their topic: doc_id, source, lang, tokens, topic."""
 
-    @F.pandas_udf("tokens long, topic int")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        code = get()
-        tokens, topic = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int32)
-        for i, t in enumerate(texts):
-            if isinstance(t, str):
-                ids = np.asarray(encode_whole(code, t), dtype=np.int64)
-                tokens[i], topic[i] = len(ids), weights[:, ids % HASHED].sum(axis=1).argmax()
-        return pd.DataFrame({"tokens": tokens, "topic": topic})
+    def run(batches):
+        import pyarrow as pa
 
-    return run
+        for batch in batches:
+            topic = [_likeness(weights, *_block(batch, i)).argmax(axis=0) for i in range(batch.num_rows)]
+            if topic:
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).flatten() for c in KEPT], pa.array(np.concatenate(topic), pa.int32())], names=[*KEPT, "topic"])
+
+    schema = StructType()
+    for c in KEPT:
+        schema.add(c, blocks.schema[c].dataType.elementType)
+    return blocks.select(*KEPT, "sizes", "buckets", "counts").mapInArrow(run, schema.add("topic", IntegerType()))
 
 
 def token_counts(path: str = TOKENIZER):
@@ -220,11 +365,14 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, to
     spark = documents.sparkSession
     wanted = {r.source: (r.share, r.cap) for r in targets.where("source is not null and target_share > 0").groupBy("source").agg(F.max("target_share").alias("share"), F.coalesce(F.max("max_repeats"), F.lit(1)).alias("cap")).collect()}
     names = sorted(wanted)
-    weights = fit_topics(documents, tokenizer, seed=seed)
     source = F.when(F.col("source").isin(names), F.col("source")) if names else F.lit(None).cast("string")
-    small = documents.where(F.col("doc_id").isNotNull() & ~is_blank(F.col("text"))).select("doc_id", F.md5("text").alias("text_id"), source.alias("source"), F.when(F.col("lang").isin(*LANGUAGES), F.col("lang")).otherwise("other").alias("lang"), sizes_and_topics(tokenizer, weights)("text").alias("x")).select("doc_id", "text_id", "source", "lang", "x.topic", "x.tokens")
-    one = F.min(F.struct(F.col("source").isNull().alias("unwanted"), "doc_id", "source", "lang", "topic", "tokens"))
-    texts = checkpointed(spark, small.groupBy("text_id").agg(one.alias("r")).select("r.*").where("source is not null"))
+    blocks, path = text_blocks(documents, source, tokenizer, seed), scratch_path(spark, "texts")
+    blocks.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    blocks = spark.read.schema(blocks.schema).parquet(path)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="32"):  # a row is a whole block
+        weights = fit_topics(blocks)
+        texts = checkpointed(spark, with_topics(blocks, weights).where("source is not null"))
+    remove_path(spark, path)
     langs, topics = [*LANGUAGES, "other"], list(range(len(weights)))
     tokens = np.zeros((len(names), len(langs), len(topics)))
     for r in texts.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("n")).collect():
