@@ -39,7 +39,7 @@ FINE = 1 << 20  # parts of one in which texts are summed: whole numbers, whose s
 BUCKETS = 1024
 #: Columns of a block of texts: arrays, and packed numbers (see ``text_blocks``).
 KEPT = ("doc_id", "source", "lang", "tokens")
-PACKED = {"draws": "<i8", "sizes": "<u2", "buckets": "<u2", "counts": "<u4"}
+PACKED = ("draws", "sizes", "buckets", "counts")
 #: Runs of white space that the pattern's engine, which goes back over them, is spared. White space as that engine has it.
 LONG_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
@@ -101,7 +101,8 @@ def text_blocks(documents: DataFrame, source: Column, path: str = TOKENIZER, see
 
     A block has its texts' doc_id, source, lang and tokens as arrays, and as packed
     numbers their draws (64 bits, by doc_id), how many buckets each has (16), and all
-    buckets (16) and counts (32), so that a pass over them costs few rows.
+    buckets (16) and counts (8, or 32 where one needs them), so that a pass over them
+    costs few rows and bytes.
     """
     lang = F.when(F.col("lang").isin(*LANGUAGES), F.col("lang")).otherwise("other")
     small = documents.where(F.col("doc_id").isNotNull() & ~is_blank(F.col("text"))).select("doc_id", F.md5("text").alias("text_id"), source.alias("source"), lang.alias("lang"), sizes_and_bags(path)("text").alias("x")).select("doc_id", "text_id", "source", "lang", "x.*")
@@ -118,7 +119,7 @@ def text_blocks(documents: DataFrame, source: Column, path: str = TOKENIZER, see
             while start < batch.num_rows:
                 stop = max(start + 1, int(np.searchsorted(at, at[start] + AT_ONCE, side="right")) - 1)
                 own, here = batch.slice(start, stop - start), slice(at[start], at[stop])
-                packed = own.column("draw").to_numpy().astype("<i8"), np.diff(at[start : stop + 1]).astype("<u2"), buckets[here], counts[here]
+                packed = own.column("draw").to_numpy().astype("<i8"), np.diff(at[start : stop + 1]).astype("<u2"), buckets[here], counts[here].astype("<u4" if counts[here].max() > 255 else "u1")
                 lists = [pa.ListArray.from_arrays(pa.array([0, stop - start], pa.int32()), own.column(c)) for c in KEPT]
                 yield pa.RecordBatch.from_arrays([*lists, *[pa.array([x.tobytes()], pa.binary()) for x in packed]], names=[*KEPT, *PACKED])
                 start = stop
@@ -144,7 +145,9 @@ def _numbers(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _block(batch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a block, where each text's counts begin, and the bucket and the number of each count. Every text has a count."""
-    sizes, buckets, counts = (np.frombuffer(batch.column(c)[i].as_buffer(), PACKED[c]) for c in ("sizes", "buckets", "counts"))
+    sizes, buckets, counts = (batch.column(c)[i].as_buffer() for c in ("sizes", "buckets", "counts"))
+    sizes, buckets = np.frombuffer(sizes, "<u2"), np.frombuffer(buckets, "<u2")
+    counts = np.frombuffer(counts, f"<u{counts.size // len(buckets)}")
     return np.cumsum(sizes, dtype=np.int64) - sizes, buckets.astype(np.intp), counts.astype(float)
 
 
@@ -367,7 +370,7 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, to
     names = sorted(wanted)
     source = F.when(F.col("source").isin(names), F.col("source")) if names else F.lit(None).cast("string")
     blocks, path = text_blocks(documents, source, tokenizer, seed), scratch_path(spark, "texts")
-    blocks.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    blocks.write.mode("overwrite").option("compression", "snappy").parquet(path)
     blocks = spark.read.schema(blocks.schema).parquet(path)
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="32"):  # a row is a whole block
         weights = fit_topics(blocks)
